@@ -18,13 +18,23 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from mercato.functions.money import decimals_to_double  # noqa: E402
+from mercato.operators import quality  # noqa: E402
 from mercato.plans import customers as cust  # noqa: E402
+from mercato.plans import pipeline  # noqa: E402
 from mercato.plans import products as prod  # noqa: E402
 from mercato.plans import sales  # noqa: E402
-from mercato.sources.bindings import TEST_AS_OF, load_base_tables  # noqa: E402
+from mercato.session import scratch_path  # noqa: E402
+from mercato.sources import catalog, sinks  # noqa: E402
+from mercato.sources.bindings import (  # noqa: E402
+    RUN_STEPS_AS_OF, TEST_AS_OF, load_base_tables, orders_from, read_raw, run_steps_from,
+)
+from mercato.streaming import refresh  # noqa: E402
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 AS_OF = TEST_AS_OF
+# The test tables hold ~25 order lines per day over six years: month
+# partitions give sensible file sizes there (production default: "day").
+DEMO_UNIT = "month"
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -153,6 +163,132 @@ def q_top_products(spark, sf_dir):
     return _report(prod.top_products(t["orders"], t["products"], 10))
 
 
+def q_save_product_analysis(spark, sf_dir):
+    pca = prod.product_category_analysis(_analysis(spark, sf_dir), AS_OF)
+    return _report(sinks.save_table(pca, "product_category_analysis"))
+
+
+def q_product_analysis_top10(spark, sf_dir):
+    saved = q_save_product_analysis(spark, sf_dir)
+    return prod.analysis_by_rank(saved, 10)
+
+
+def q_save_clv(spark, sf_dir):
+    return _report(sinks.save_table(_clv(spark, sf_dir), "customer_lifetime_value"))
+
+
+# ---------------------------------------------------------------- data quality
+def q_dq_clv_unique(spark, sf_dir):
+    return quality.unique_check(_clv(spark, sf_dir), "customer_id")
+
+
+def q_dq_clv_not_null(spark, sf_dir):
+    clv = _clv(spark, sf_dir)
+    return (quality.not_null_check(clv, "customer_id")
+            .unionByName(quality.not_null_check(clv, "total_orders")))
+
+
+def q_dq_clv_accepted_tier(spark, sf_dir):
+    return quality.accepted_values_check(_clv(spark, sf_dir), "customer_tier", cust.TIERS)
+
+
+def q_dq_report(spark, sf_dir):
+    return quality.quality_report(_clv(spark, sf_dir), unique=["customer_id"],
+                                  not_null=["customer_id", "total_orders"],
+                                  accepted={"customer_tier": cust.TIERS})
+
+
+# ---------------------------------------------------------------- sources / catalog
+def q_external_table_scan(spark, sf_dir):
+    raw = catalog.register_raw_tables(spark, sf_dir, "mercato_ext",
+                                      names=("part", "orders", "lineitem"))
+    return _report(orders_from(raw["lineitem"], raw["orders"], raw["part"]))
+
+
+def q_describe_sources(spark, sf_dir):
+    return catalog.describe_tables(spark, _tables(spark, sf_dir))
+
+
+def q_snapshot_refresh(spark, sf_dir):
+    orders = _tables(spark, sf_dir)["orders"]
+    first = scratch_path(spark, "orders_snapshot")
+    catalog.stage_orders(orders, first)
+    catalog.register_external_table(spark, "ext_orders_snapshot", first)
+    second = scratch_path(spark, "orders_snapshot")
+    catalog.stage_orders(orders, second)
+    return _report(catalog.refresh_snapshot(spark, "ext_orders_snapshot", second))
+
+
+# ---------------------------------------------------------------- refresh / streaming
+def q_hourly_refresh_full(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return _report(refresh.refresh_full(t["orders"], t["products"],
+                                        scratch_path(spark, "hourly_full"), DEMO_UNIT))
+
+
+def _landing(spark, sf_dir):
+    """Stage the bound orders as month-partitioned files: the arriving stream."""
+    t = _tables(spark, sf_dir)
+    landing = scratch_path(spark, "orders_landing")
+    staged = catalog.stage_orders(t["orders"], landing)
+    n_files = len(staged.inputFiles())
+    return t, landing, max(1, -(-n_files // 4))
+
+
+def _run_incremental(spark, sf_dir):
+    t, landing, per_trigger = _landing(spark, sf_dir)
+    result = scratch_path(spark, "hourly_incremental")
+    history = scratch_path(spark, "refresh_history")
+    handler = refresh.IncrementalHourlyRefresh(
+        t["products"], scratch_path(spark, "orders_base"), result, history, DEMO_UNIT)
+    stream = refresh.order_stream(spark, landing, per_trigger)
+    query = handler.start(stream, scratch_path(spark, "stream_checkpoint"), available_now=True)
+    query.awaitTermination()
+    return result, history
+
+
+def q_hourly_refresh_incremental(spark, sf_dir):
+    result, _ = _run_incremental(spark, sf_dir)
+    return _report(refresh.read_hourly(spark, result))
+
+
+def q_refresh_history(spark, sf_dir):
+    _, history = _run_incremental(spark, sf_dir)
+    return refresh.refresh_history(spark, history, 10)
+
+
+def q_hourly_stream_windowed(spark, sf_dir):
+    t, landing, per_trigger = _landing(spark, sf_dir)
+    out = scratch_path(spark, "hourly_windowed")
+    windowed = refresh.windowed_hourly_stream(
+        refresh.order_stream(spark, landing, per_trigger), t["products"])
+    query = (windowed.writeStream.outputMode("append").format("parquet")
+             .option("path", out)
+             .option("checkpointLocation", scratch_path(spark, "stream_checkpoint"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return _report(spark.read.parquet(out))
+
+
+# ---------------------------------------------------------------- pipeline / run log
+def q_output_row_counts(spark, sf_dir):
+    return pipeline.output_row_counts(_hourly(spark, sf_dir), _clv(spark, sf_dir))
+
+
+def q_run_step_history(spark, sf_dir):
+    steps = run_steps_from(read_raw(spark, sf_dir, "events"))
+    return pipeline.step_history(steps, RUN_STEPS_AS_OF, 24, 20)
+
+
+def q_run_log_append(spark, sf_dir):
+    pipeline.run_pipeline(spark, _tables(spark, sf_dir), AS_OF, unit=DEMO_UNIT)
+    return spark.table(pipeline.RUN_LOG)
+
+
+def q_run_log_tail(spark, sf_dir):
+    return pipeline.run_log_tail(q_run_log_append(spark, sf_dir), 10)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the saved product category analysis at sf0.001."""
     return q_product_category_analysis(spark, FLAGSHIP_SF_DIR)
@@ -183,6 +319,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "product_category_analysis": q_product_category_analysis,
         "best_margin_category": q_best_margin_category,
         "top_products": q_top_products,
+        "save_product_analysis": q_save_product_analysis,
+        "product_analysis_top10": q_product_analysis_top10,
+        "save_clv": q_save_clv,
+        "dq_clv_unique": q_dq_clv_unique,
+        "dq_clv_not_null": q_dq_clv_not_null,
+        "dq_clv_accepted_tier": q_dq_clv_accepted_tier,
+        "dq_report": q_dq_report,
+        "external_table_scan": q_external_table_scan,
+        "describe_sources": q_describe_sources,
+        "snapshot_refresh": q_snapshot_refresh,
+        "hourly_refresh_full": q_hourly_refresh_full,
+        "hourly_refresh_incremental": q_hourly_refresh_incremental,
+        "refresh_history": q_refresh_history,
+        "hourly_stream_windowed": q_hourly_stream_windowed,
+        "output_row_counts": q_output_row_counts,
+        "run_step_history": q_run_step_history,
+        "run_log_append": q_run_log_append,
+        "run_log_tail": q_run_log_tail,
     }
 
 

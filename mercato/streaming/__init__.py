@@ -1,0 +1,5 @@
+"""Keeping hourly sales metrics fresh: full, incremental and windowed."""
+
+from mercato.streaming.refresh import (  # noqa: F401
+    ORDERS_SCHEMA, refresh_full, IncrementalHourlyRefresh, windowed_hourly_stream,
+)
