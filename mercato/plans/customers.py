@@ -29,7 +29,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.money import line_gross, line_net, ratio, round_to
+from mercato.functions.money import ratio, round_to, sum_gross, sum_net
 from mercato.functions.timefn import as_of_col, calendar_days
 from mercato.operators.ntile import ntile, ntile_window
 
@@ -78,7 +78,7 @@ def customer_order_totals(orders: DataFrame) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.countDistinct("order_id").alias("total_orders"),
-            F.sum(line_net()).alias("total_revenue"),
+            sum_net().alias("total_revenue"),
             F.sum("quantity").cast("long").alias("total_units"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
@@ -178,7 +178,7 @@ def rfm_metrics(orders: DataFrame, as_of=None) -> DataFrame:
         .agg(
             F.max("order_date").alias("_last"),
             F.countDistinct("order_id").alias("frequency"),
-            F.sum(line_gross()).alias("monetary"),
+            sum_gross().alias("monetary"),
         )
         .select("customer_id", calendar_days("_last", now).alias("recency_days"),
                 "frequency", "monetary")

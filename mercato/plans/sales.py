@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.money import (
-    avg_of, line_cost, line_discount, line_gross, line_net, ratio, round_to,
+    avg_gross, avg_of, ratio, round_to, sum_cost, sum_discount, sum_gross, sum_net,
 )
 from mercato.functions.timefn import hour_floor
 
@@ -46,8 +46,8 @@ def hourly_sales_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:
         hour_floor("order_date").alias("sales_hour"), "order_id", "customer_id",
         "product_id", "quantity", "unit_price", "discount_pct", "status")
     prods = products.select("product_id", "category", "subcategory", "cost_price")
-    net = F.sum(line_net())
-    cost = F.sum(line_cost())
+    net = sum_net()
+    cost = sum_cost()
     return (
         lines.join(prods, "product_id")
         .groupBy("sales_hour", "category", "subcategory")
@@ -55,10 +55,10 @@ def hourly_sales_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:
             F.countDistinct("order_id").alias("total_orders"),
             F.countDistinct("customer_id").alias("unique_customers"),
             F.sum("quantity").cast("long").alias("units_sold"),
-            F.sum(line_gross()).alias("gross_revenue"),
+            sum_gross().alias("gross_revenue"),
             net.alias("net_revenue"),
-            F.sum(line_discount()).alias("total_discounts"),
-            avg_of(line_gross()).alias("avg_order_value"),
+            sum_discount().alias("total_discounts"),
+            avg_gross().alias("avg_order_value"),
             avg_of("quantity").alias("avg_units_per_order"),
             cost.alias("total_cost"),
             (net - cost).alias("gross_profit"),

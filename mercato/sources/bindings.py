@@ -42,6 +42,21 @@ def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the session can run.
+
+    A Parquet file is split by row group; a table stored as one large row
+    group is read by one task, and everything up to the first shuffle (joins
+    to dimensions, partial aggregation) would run on one core.  Large
+    production tables come as many files and skip this (no extra shuffle).
+    """
+    spark = df.sparkSession
+    target = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def customers_from(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """customers(customer_id, first_name, last_name, email, segment, region, created_at)."""
     # nation (25 rows) and region (5 rows) are fixed-size code tables.
@@ -158,6 +173,7 @@ def load_base_tables(spark: SparkSession, sf_dir: str,
     """
     raw = {name: read_raw(spark, sf_dir, name)
            for name in ("region", "nation", "customer", "part", "orders", "lineitem")}
+    raw["lineitem"] = spread(raw["lineitem"])
     tables = base_tables(raw)
     if register_views:
         for name, df in tables.items():

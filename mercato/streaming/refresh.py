@@ -30,7 +30,7 @@ from pyspark.sql.types import (
     DecimalType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
-from mercato.functions.money import avg_of, line_gross, line_net
+from mercato.functions.money import avg_gross, sum_cost, sum_gross, sum_net
 from mercato.plans.sales import HOURLY_COLUMNS, hourly_sales_metrics
 
 ORDERS_SCHEMA = StructType([
@@ -162,8 +162,8 @@ def windowed_hourly_stream(stream: DataFrame, products: DataFrame,
     prods = products.select("product_id", "category", "subcategory", "cost_price")
     lines = (stream.withColumn("event_time", F.col("order_date").cast("timestamp"))
              .join(prods, "product_id"))
-    net = F.sum(line_net())
-    cost = F.sum(F.col("quantity") * F.col("cost_price"))
+    net = sum_net()
+    cost = sum_cost()
     return (
         lines.withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 hour"), "category", "subcategory")
@@ -171,9 +171,9 @@ def windowed_hourly_stream(stream: DataFrame, products: DataFrame,
             F.approx_count_distinct("order_id").alias("total_orders"),
             F.approx_count_distinct("customer_id").alias("unique_customers"),
             F.sum("quantity").cast("long").alias("units_sold"),
-            F.sum(line_gross()).alias("gross_revenue"),
+            sum_gross().alias("gross_revenue"),
             net.alias("net_revenue"),
-            avg_of(line_gross()).alias("avg_order_value"),
+            avg_gross().alias("avg_order_value"),
             cost.alias("total_cost"),
             (net - cost).alias("gross_profit"),
         )
