@@ -5,7 +5,8 @@ moves every row into one task.  This version keeps the data spread:
 
 1. range-partition on the sort keys plus a unique tie-break and sort
    inside each partition (one shuffle, balanced because the tie-break makes
-   every key distinct);
+   every key distinct; without an explicit count AQE merges neighbouring
+   ranges to its advisory size, which keeps the order);
 2. tag each row with ``monotonically_increasing_id`` whose upper bits are
    the partition index and lower 33 bits the position inside it;
 3. checkpoint that table (reliable storage below ``spark.checkpoint.dir``):
@@ -58,12 +59,12 @@ def ntile(df: DataFrame, n: int, order_by: Sequence[Column | str], out_col: str,
     if n < 1:
         raise ValueError("ntile needs n >= 1")
     spark = df.sparkSession
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     checkpoint_root(spark)  # makes sure a reliable checkpoint dir is set
     keys = [_col(c) for c in order_by]
+    spread = (df.repartitionByRange(partitions, *keys) if partitions
+              else df.repartitionByRange(*keys))
     ranked = (
-        df.repartitionByRange(partitions, *keys)
+        spread
         .sortWithinPartitions(*keys)
         .withColumn("_nt_id", F.monotonically_increasing_id())
         .checkpoint(eager=True)

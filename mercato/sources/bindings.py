@@ -49,9 +49,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     group is read by one task, and everything up to the first shuffle (joins
     to dimensions, partial aggregation) would run on one core.  Large
     production tables come as many files and skip this (no extra shuffle).
+    The target is the number of task slots (``defaultParallelism``).
     """
     spark = df.sparkSession
-    target = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df

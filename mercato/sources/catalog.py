@@ -98,8 +98,8 @@ def stage_orders(orders: DataFrame, location: str) -> DataFrame:
     # Range-partition on time (order_id splits a hot instant): every task
     # writes a contiguous slice, so each month gets few, large files and
     # no task holds more than its share, however skewed the months are.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    (with_order_month(orders).repartitionByRange(n, "order_date", "order_id")
+    # AQE sizes the slices (advisory partition size) from the data volume.
+    (with_order_month(orders).repartitionByRange("order_date", "order_id")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("order_month").parquet(location))
