@@ -75,6 +75,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def task_slots(spark: SparkSession) -> int:
+    """Tasks the cluster runs at once (``defaultParallelism``)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # pragma: no cover - no SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.functions.money import MONEY, PCT
+from mercato.session import task_slots
 
 RAW_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -51,11 +52,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     production tables come as many files and skip this (no extra shuffle).
     The target is the number of task slots (``defaultParallelism``).
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    target = min_partitions or task_slots(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - no RDD access (Spark Connect)
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def customers_from(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql.types import (
 
 from mercato.functions.money import avg_gross, sum_cost, sum_gross, sum_net
 from mercato.plans.sales import HOURLY_COLUMNS, hourly_sales_metrics
+from mercato.session import task_slots
 
 ORDERS_SCHEMA = StructType([
     StructField("order_id", LongType()),
@@ -60,7 +61,7 @@ def _unit(c, unit: str):
 
 def _writers(spark: SparkSession) -> int:
     """Parallel writer tasks: one per task slot."""
-    return spark.sparkContext.defaultParallelism
+    return task_slots(spark)
 
 
 def _write_units(hourly: DataFrame, location: str, mode: str, unit: str) -> None:

@@ -49,3 +49,21 @@ def test_clv_on_sparse_orders_matches_oracle(spark):
     tiers = {r[0]: r[1] for r in got.groupBy("customer_tier").count().collect()}
     assert set(tiers) == {"Bronze", "Silver", "Gold", "Platinum"}
     assert got.filter(F.col("total_orders") == 0).count() > 0
+
+
+def test_hourly_on_dense_orders_matches_oracle(spark):
+    """orders_dense (FIXTURES.md): the same lines packed into 48 hours, so
+    hourly groups hold many lines and both distinct counts are exercised."""
+    from mercato.sources.bindings import orders_dense_from, read_raw
+    from sql_oracle import HOURLY, HOURLY_OUT
+    sf = "/root/testdata/sf0.01"
+    raw = {n: read_raw(spark, sf, n) for n in ("lineitem", "orders", "part")}
+    dense = orders_dense_from(raw["lineitem"], raw["orders"], raw["part"])
+    got = decimals_to_double(sales.hourly_sales_metrics(dense, load_base_tables(spark, sf)["products"]))
+    base = BASE.replace(
+        "o.o_orderdate + to_seconds(CAST((o.o_orderkey * 37) % 86400 AS BIGINT)) AS order_date",
+        "TIMESTAMP '2001-07-01 00:00:00' + to_hours(CAST((o.o_orderkey * 7919) % 48 AS BIGINT))"
+        " AS order_date")
+    ok, msg = compare(got, duck(sf), "WITH " + base + "," + HOURLY + HOURLY_OUT)
+    assert ok, msg
+    assert got.count() < 10000  # many lines per group
