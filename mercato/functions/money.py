@@ -121,7 +121,8 @@ def sum_cost(quantity="quantity", cost_price="cost_price") -> Column:
 
 def avg_gross(quantity="quantity", unit_price="unit_price") -> Column:
     """AVG(quantity * unit_price) over lines, as DOUBLE."""
-    return ratio(sum_gross(quantity, unit_price), F.count(_c(quantity) * _c(unit_price)))
+    both = _c(quantity).isNotNull() & _c(unit_price).isNotNull()
+    return ratio(sum_gross(quantity, unit_price), F.count_if(both))
 
 
 def round_to(c: Column | str, digits: int) -> Column:

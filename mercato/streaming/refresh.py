@@ -130,11 +130,13 @@ class IncrementalHourlyRefresh:
                 _write_units(hourly_sales_metrics(seen, self.products), self.result,
                              "dynamic", self.unit)
             if self.history:
+                # one folder per batch id: a replayed batch replaces its row
                 ended = _dt.datetime.now(_dt.timezone.utc)
                 spark.createDataFrame(
                     [(batch_id, started, ended, stats["n"], len(units), "SUCCEEDED")],
                     HISTORY_SCHEMA,
-                ).coalesce(1).write.mode("append").parquet(self.history)
+                ).coalesce(1).write.mode("overwrite").parquet(
+                    f"{self.history}/batch={batch_id}")
         finally:
             lines.unpersist()
 
@@ -154,7 +156,7 @@ def order_stream(spark: SparkSession, location: str, files_per_trigger: int = 1)
 
 
 def refresh_history(spark: SparkSession, history: str, n: int = 10) -> DataFrame:
-    return (spark.read.schema(HISTORY_SCHEMA).parquet(history)
+    return (spark.read.parquet(history).select(*[c.split()[0] for c in HISTORY_SCHEMA.split(", ")])
             .orderBy(F.col("refresh_start_time").desc(), F.col("batch_id").desc())
             .limit(n))
 
