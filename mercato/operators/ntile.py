@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,12 +64,13 @@ def ntile(df: DataFrame, n: int, order_by: Sequence[Column | str], out_col: str,
     keys = [_col(c) for c in order_by]
     spread = (df.repartitionByRange(partitions, *keys) if partitions
               else df.repartitionByRange(*keys))
-    ranked = (
-        spread
-        .sortWithinPartitions(*keys)
-        .withColumn("_nt_id", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    tagged = (spread.sortWithinPartitions(*keys)
+              .withColumn("_nt_id", F.monotonically_increasing_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    # Reliable checkpoint writes by recomputing its input unless it is
+    # cached; the cache only lives until the checkpoint files are written.
+    ranked = tagged.checkpoint(eager=True)
+    tagged.unpersist()
     ranked = ranked.withColumns({
         "_nt_part": F.shiftright("_nt_id", _POS_BITS),
         "_nt_pos": F.col("_nt_id").bitwiseAND(F.lit(_POS_MASK)),

@@ -4,13 +4,14 @@
 * ``IncrementalHourlyRefresh`` (T2): a Structured Streaming query over
   arriving order files.  Exact distinct counts and averages do not merge,
   so each micro-batch (``foreachBatch``)
-    1. appends its lines to a base store partitioned by (order day,
-       batch id) - dynamic partition overwrite makes a replayed batch
-       replace its own files, so at-least-once delivery is harmless;
-    2. finds the days it touches (a tiny distinct set);
-    3. recomputes every hour of those days from the base store, listing
-       only those day folders;
-    4. overwrites just those day partitions of the result.
+    1. appends its lines to a base store partitioned by (unit, batch id),
+       the unit being a day (default) or a month - dynamic partition
+       overwrite makes a replayed batch replace its own files, so
+       at-least-once delivery is harmless;
+    2. finds the units it touches (a tiny distinct set);
+    3. recomputes every hour of those units from the base store, listing
+       only those unit folders;
+    4. overwrites just those unit partitions of the result.
   After every batch the result equals the full recompute over all lines
   seen so far, late lines included: a late line simply updates its day.
 * ``windowed_hourly_stream`` (T3/T4): the pure streaming form, tumbling
