@@ -41,8 +41,16 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return load_base_tables(spark, sf_dir)
 
 
+# Integer columns that are NULL for some rows (no qualifying order).  Such
+# columns become float64 in one engine's pandas export and nullable Int32 in
+# the other's, so the report form carries them as DOUBLE on both sides.
+NULLABLE_INTS = ("days_since_last_order",)
+
+
 def _report(df: DataFrame) -> DataFrame:
-    return decimals_to_double(df)
+    df = decimals_to_double(df)
+    cast = [c for c in NULLABLE_INTS if c in df.columns]
+    return df.withColumns({c: df[c].cast("double") for c in cast}) if cast else df
 
 
 # ---------------------------------------------------------------- scans

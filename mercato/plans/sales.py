@@ -88,9 +88,11 @@ def hourly_margin_top(hourly: DataFrame, n: int = 20) -> DataFrame:
 def daily_sales_summary(hourly: DataFrame) -> DataFrame:
     """Hours rolled up to days.  ``daily_customers`` sums per-hour distinct
     customers (a customer buying in two hours counts twice), as in the
-    source report."""
+    source report.  ``sales_date`` is the day's midnight as TIMESTAMP_NTZ,
+    the one time type every output of this library carries."""
+    day = F.to_date("sales_hour").cast("timestamp_ntz")
     return (
-        hourly.groupBy(F.to_date("sales_hour").alias("sales_date"))
+        hourly.groupBy(day.alias("sales_date"))
         .agg(
             F.sum("total_orders").cast("long").alias("daily_orders"),
             F.sum("unique_customers").cast("long").alias("daily_customers"),
