@@ -234,13 +234,14 @@ def q_hourly_refresh_full(spark, sf_dir):
                                         scratch_path(spark, "hourly_full"), DEMO_UNIT))
 
 
-def _landing(spark, sf_dir):
-    """Stage the bound orders as month-partitioned files: the arriving stream."""
+def _landing(spark, sf_dir, batches=4):
+    """Stage the bound orders as month-partitioned files: the arriving
+    stream, read in about ``batches`` micro-batches."""
     t = _tables(spark, sf_dir)
     landing = scratch_path(spark, "orders_landing")
     staged = catalog.stage_orders(t["orders"], landing)
     n_files = len(staged.inputFiles())
-    return t, landing, max(1, -(-n_files // 4))
+    return t, landing, max(1, -(-n_files // batches))
 
 
 def _run_incremental(spark, sf_dir):
@@ -266,7 +267,7 @@ def q_refresh_history(spark, sf_dir):
 
 
 def q_hourly_stream_windowed(spark, sf_dir):
-    t, landing, per_trigger = _landing(spark, sf_dir)
+    t, landing, per_trigger = _landing(spark, sf_dir, batches=2)
     out = scratch_path(spark, "hourly_windowed")
     windowed = refresh.windowed_hourly_stream(
         refresh.order_stream(spark, landing, per_trigger), t["products"])
