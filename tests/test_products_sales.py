@@ -74,3 +74,26 @@ def test_product_analysis_ranks_are_dense_from_one(spark):
     assert rows["a1"]["overall_revenue_rank"] == rows["a2"]["overall_revenue_rank"] == 1
     assert rows["b1"]["overall_revenue_rank"] == 2
     assert rows["b1"]["category_revenue_rank"] == 1
+
+
+def test_recent_order_details_skips_unknown_customers(spark):
+    from fixtures import customer as cust_row
+    c, p, o = frames(spark, [cust_row(1)], [product(1)],
+                     [order(10, 1, when=dt.datetime(2024, 6, 1, 9)),
+                      order(11, 1, when=dt.datetime(2024, 6, 1, 10)),
+                      order(12, 99, when=dt.datetime(2024, 6, 1, 11))])  # unknown customer
+    rows = sales.recent_order_details(o, c, p, 2).collect()
+    assert [r["order_id"] for r in rows] == [11, 10]
+    assert rows[0]["customer_name"] == "First1 Last1"
+
+
+def test_step_durations_count_second_boundaries(spark):
+    from mercato.plans import pipeline
+    steps = spark.createDataFrame(
+        [("a", "x", dt.datetime(2024, 1, 30, 10, 0, 0, 900000), dt.datetime(2024, 1, 30, 10, 0, 1, 100000)),
+         ("b", "x", dt.datetime(2024, 1, 29, 23, 0, 0), dt.datetime(2024, 1, 29, 23, 0, 5)),
+         ("c", "y", dt.datetime(2024, 1, 30, 23, 59, 59), dt.datetime(2024, 1, 31, 0, 0, 2))],
+        "run_id string, name string, started_at timestamp_ntz, completed_at timestamp_ntz")
+    rows = pipeline.step_history(steps, "2024-01-31 00:00:00", 24, 20).collect()
+    assert [r["run_id"] for r in rows] == ["c", "a"]  # b started before the window
+    assert [r["duration_seconds"] for r in rows] == [3, 1]
