@@ -30,6 +30,16 @@ from mercato.sources.bindings import (  # noqa: E402
 )
 from mercato.streaming import refresh  # noqa: E402
 
+# The operators of a training-data pipeline come as a subpackage of their own
+# and may be absent; everything else works without them.
+try:
+    import corpus_pipeline
+    from mercato.llm.queries import llm_oracle_sql, llm_queries
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".")[0] not in ("mercato", "corpus_pipeline"):
+        raise
+    corpus_pipeline = None
+
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 AS_OF = TEST_AS_OF
 # The test tables hold ~25 order lines per day over six years: month
@@ -304,6 +314,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if corpus_pipeline is None:
+        return _queries()
+    return _queries() | llm_queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_customers": q_scan_customers,
         "scan_products": q_scan_products,
@@ -352,4 +368,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from sql_oracle import queries_sql
     sql = queries_sql()
+    if corpus_pipeline is not None:
+        sql |= llm_oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {name: sql[name] for name in queries() if name in sql}
