@@ -6,11 +6,16 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import mercato
 from mercato.session import scratch_path
 
+# Functions travel to the executors whole: the package needn't be installed there.
+cloudpickle.register_pickle_by_value(mercato)
+
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 WORD = re.compile(WORD_CLASS)
 _UPPER_TO_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}

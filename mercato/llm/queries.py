@@ -6,10 +6,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import simhash_vptree
+from mercato.llm import rans, simhash_vptree
 from mercato.llm.common import read_table
 
 
+def op1_rans_token_blocks(spark, sf_dir):
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents")
+    return rans.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+
+
 def op6_simhash_vptree(spark, sf_dir):
     found = simhash_vptree.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -17,7 +23,8 @@ def op6_simhash_vptree(spark, sf_dir):
 
 
 def llm_queries():
-    return {"op6_simhash_vptree": op6_simhash_vptree}
+    return {"op1_rans_token_blocks": op1_rans_token_blocks,
+            "op6_simhash_vptree": op6_simhash_vptree}
 
 
 def llm_oracle_sql():
