@@ -18,6 +18,7 @@ cloudpickle.register_pickle_by_value(mercato)
 
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 WORD = re.compile(WORD_CLASS)
+BATCH_ROWS = 512
 _UPPER_TO_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
@@ -48,17 +49,16 @@ def materialise(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str,
-             batch: int = 512) -> DataFrame:
-    """``mapInArrow`` over dictionaries of columns, ``batch`` rows at a time.
+def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]],
+             schema: str) -> DataFrame:
+    """``mapInArrow`` over dictionaries of columns.
 
-    ``fn`` takes an iterator of ``{column: list}`` and yields the same.  Small
-    batches bound the memory of tables with very long texts.
+    ``fn`` takes an iterator of ``{column: list}`` and yields the same.  A batch
+    holds BATCH_ROWS rows (and 64 MB, Spark's own limit) at most, which bounds
+    the memory of tables with very long texts.
     """
     spark = df.sparkSession
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > batch:
-        spark.conf.set(key, str(batch))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     out = spark.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(out)
@@ -75,6 +75,19 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sche
     return df.mapInArrow(run, out)
 
 
+def gathered(batches: Iterator[dict], rows: int) -> Iterator[dict]:
+    """Batches of narrow columns joined until they hold ``rows`` rows."""
+    held: dict = {}
+    for b in batches:
+        for k, v in b.items():
+            held.setdefault(k, []).extend(v)
+        if len(next(iter(held.values()))) >= rows:
+            yield held
+            held = {}
+    if held:
+        yield held
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) for the undirected ``edges`` (a, b: long); the
     component is its smallest node.

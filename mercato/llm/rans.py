@@ -35,7 +35,7 @@ BLOCK_IDS = 1 << 18  # a block closes once it holds so many ids
 LANES = 1024
 SEGMENT_STEPS = 128  # steps (of one id per lane) between checkpoints
 END_ID = 0
-CACHE = 400_000  # pieces of text whose ids a worker remembers
+CACHE = 1_000_000  # pieces of text whose ids a worker remembers
 
 
 # ------------------------------------------------------------------ tokenizing
@@ -61,7 +61,7 @@ class PieceTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32."""
         cut = [self._pieces(t) for t in texts]
-        new = set().union(*cut) - self.known.keys()
+        new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > CACHE:
             self.known = {}
             new = set().union(*cut)
@@ -91,21 +91,21 @@ class PieceTokenizer:
     def _pieces(text: str) -> list[str]:
         if not text:
             return []
-        if "<|" in text or _ODD_SPACE.search(text):
+        if text[0] == " " or "<|" in text or "\0" in text or _ODD_SPACE.search(text):
             return [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
-
-
-_ODD_SPACE = re.compile(r" (?:\s|\Z)|(?:\A|\s) ")
-_tokenizers: dict[str, PieceTokenizer] = {}
+        return text.replace(" ", "\0 ").split("\0")
 
 
+# a space beside another white-space character or at the end
+_ODD_SPACE = re.compile(r" (?:(?<=\s )|\s|\Z)")
 def tokenizer(path: str) -> PieceTokenizer:
-    """One per worker process."""
-    if path not in _tokenizers:
-        _tokenizers[path] = PieceTokenizer(path)
-    return _tokenizers[path]
+    """One per worker process, which keeps what it knows from task to task; it
+    hangs on the library's module, as this one travels anew with every task."""
+    import tokenizers
+    kept = vars(tokenizers).setdefault("_piece_tokenizers", {})
+    if path not in kept:
+        kept[path] = PieceTokenizer(path)
+    return kept[path]
 
 
 # ------------------------------------------------------------------ coder
@@ -212,7 +212,7 @@ def tokenize(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
             yield {"doc_id": b["doc_id"], "n": [len(x) for x in ids], "ids": [_pack(x) for x in ids]}
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                          F.col(f"`{text_col}`").alias("text"))
-    return map_rows(narrow, run, "doc_id long, n long, ids binary", batch=256)
+    return map_rows(narrow, run, "doc_id long, n long, ids binary")
 
 
 def _pack(ids: np.ndarray) -> bytes:
@@ -291,7 +291,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id",
                .select("doc_id", "ids", F.spark_partition_id().alias("shard")))
     (map_rows(ordered, run, "shard int, block int, first long, doc_ids array<long>, "
               "doc_lengths array<long>, n_ids long, lanes int, checkpoints binary, "
-              "checksums array<long>, payload binary", batch=256)
+              "checksums array<long>, payload binary")
      .write.parquet(f"{path}/blocks"))
 
 
@@ -299,9 +299,9 @@ def _one(row: dict) -> dict:
     return {k: [v] for k, v in row.items()}
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids array<int>) per document, decoded
-    from the blocks; every segment is held against its checksum."""
+def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32 and, if asked for, ids array<int>) per
+    document, decoded from the blocks; every segment is held against its checksum."""
     arrays = spark.sparkContext.broadcast(load_arrays(spark, path))
     blocks = spark.read.parquet(f"{path}/blocks")
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).collect()  # one row per file
@@ -322,15 +322,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                        "start": [start + int(e) - n for e, n in zip(ends, row["doc_lengths"])],
                        "n_tokens": row["doc_lengths"],
                        "ids_crc32": [zlib.crc32(p.astype("<u4").tobytes()) for p in parts],
-                       "ids": parts}
+                       "ids": parts if with_ids else None}
 
-    return map_rows(blocks, run, "doc_id long, start long, n_tokens long, ids_crc32 long, "
-                    "ids array<int>", batch=4)
+    return map_rows(blocks, run, "doc_id long, start long, n_tokens long, ids_crc32 long"
+                    + ", ids array<int>" * with_ids)
 
 
-def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, with_ids: bool = True) -> DataFrame:
     """Write ``docs`` below the shared folder and read them back."""
     spark = docs.sparkSession
     path = scratch_path(spark, "rans")
     write(docs, path, vocabulary)
-    return read(spark, path)
+    return read(spark, path, with_ids)

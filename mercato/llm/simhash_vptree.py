@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.common import (
-    ascii_lower, connected_components, map_rows, materialise, words_of,
+    ascii_lower, connected_components, gathered, map_rows, materialise, words_of,
 )
 
 SHINGLE = 3
@@ -232,7 +232,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, bands: int = BANDS,
     trees = [fit_shards(points, m, depth) for m in masks]
 
     def send(batches):
-        for b in batches:
+        for b in gathered(batches, 1 << 16):
             fp = np.array(b["fp"], dtype=np.int64)
             node = np.array(b["node"], dtype=np.int64)
             for k, m in enumerate(masks):
@@ -253,7 +253,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, bands: int = BANDS,
                             dtype="int64")
 
     sent = map_rows(nodes.select("fp", "node"), send,
-                    "band int, shard int, home boolean, fp long, node long", batch=8192)
+                    "band int, shard int, home boolean, fp long, node long")
     return sent.groupBy("band", "shard").applyInPandas(search, "a long, b long")
 
 
