@@ -6,14 +6,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import rans, simhash_vptree
+from mercato.llm import hilbert_shards, license_digest, rans, simhash_vptree
 from mercato.llm.common import read_table
 
 
 def op1_rans_token_blocks(spark, sf_dir):
     import public_tokenizers
     docs = read_table(spark, sf_dir, "documents")
-    return rans.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+    return rans.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
 def op6_simhash_vptree(spark, sf_dir):
@@ -22,10 +22,18 @@ def op6_simhash_vptree(spark, sf_dir):
                         "component_id")
 
 
+def op9_license_digest(spark, sf_dir):
+    return license_digest.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op10_hilbert_shards(spark, sf_dir):
+    found = hilbert_shards.write_shards(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "cell")
+
+
 def llm_queries():
-    return {"op1_rans_token_blocks": op1_rans_token_blocks,
-            "op6_simhash_vptree": op6_simhash_vptree}
+    return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def llm_oracle_sql():
-    return {}
+    return {"op9_license_digest": license_digest.ORACLE_SQL}
