@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import hilbert_shards, license_digest, rans, simhash_vptree
+from mercato.llm import hilbert_shards, license_digest, quality_rules, rans, simhash_vptree
 from mercato.llm.common import read_table
 
 
@@ -22,6 +22,10 @@ def op6_simhash_vptree(spark, sf_dir):
                         "component_id")
 
 
+def op7_quality_rules(spark, sf_dir):
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"))
+
+
 def op9_license_digest(spark, sf_dir):
     return license_digest.scan(read_table(spark, sf_dir, "documents"))
 
