@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import hilbert_shards, license_digest, quality_rules, rans, simhash_vptree
+from mercato.llm import hilbert_shards, license_digest, quality_rules, rans, simhash_vptree, toxic_segments
 from mercato.llm.common import read_table
 
 
@@ -16,6 +16,11 @@ def op1_rans_token_blocks(spark, sf_dir):
     return rans.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op4_toxic_segments(spark, sf_dir):
+    found = toxic_segments.detect(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "n_segments")
+
+
 def op6_simhash_vptree(spark, sf_dir):
     found = simhash_vptree.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
