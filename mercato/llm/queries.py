@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import hilbert_shards, license_digest, quality_rules, rans, simhash_vptree, toxic_segments
+from mercato.llm import decontaminate, hilbert_shards, license_digest, quality_rules, rans, simhash_vptree, toxic_segments
 from mercato.llm.common import read_table
 
 
@@ -21,6 +21,10 @@ def op4_toxic_segments(spark, sf_dir):
     return found.select("doc_id", "held_out", "score", "predicted", "n_segments")
 
 
+def op5_decontaminate(spark, sf_dir):
+    return decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash_vptree(spark, sf_dir):
     found = simhash_vptree.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
