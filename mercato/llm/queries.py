@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import decontaminate, hilbert_shards, license_digest, quality_rules, rans, simhash_vptree, toxic_segments
+from mercato.llm import decontaminate, hilbert_shards, license_digest, mixing, quality_rules, rans, simhash_vptree, toxic_segments
 from mercato.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op1_rans_token_blocks(spark, sf_dir):
     return rans.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op3_mixing(spark, sf_dir):
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 def op4_toxic_segments(spark, sf_dir):
     found = toxic_segments.detect(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted", "n_segments")
@@ -49,4 +53,5 @@ def llm_queries():
 
 
 def llm_oracle_sql():
-    return {"op9_license_digest": license_digest.ORACLE_SQL}
+    return {"op3_mixing": mixing.oracle_sql(),
+            "op9_license_digest": license_digest.ORACLE_SQL}
