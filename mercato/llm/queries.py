@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import decontaminate, hilbert_shards, license_digest, mixing, quality_rules, rans, simhash_vptree, toxic_segments
+from mercato.llm import decontaminate, hilbert_shards, license_digest, mixing, quality_rules, rans, simhash_vptree, toxic_segments, warc
 from mercato.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op1_rans_token_blocks(spark, sf_dir):
     return rans.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op2_warc(spark, sf_dir):
+    return warc.round_trip(read_table(spark, sf_dir, "pages"), with_payload=False).drop("payload")
+
+
 def op3_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
