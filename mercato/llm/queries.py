@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import decontaminate, hilbert_shards, license_digest, mixing, quality_rules, rans, simhash_vptree, toxic_segments, warc
+from mercato.llm import crf_extract, decontaminate, hilbert_shards, license_digest, mixing, quality_rules, rans, simhash_vptree, toxic_segments, warc
 from mercato.llm.common import read_table
 
 
@@ -43,6 +43,10 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op8_crf_extract(spark, sf_dir):
+    return crf_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op9_license_digest(spark, sf_dir):
     return license_digest.scan(read_table(spark, sf_dir, "documents"))
 
