@@ -1,8 +1,54 @@
-"""Corpus pipeline (filled in below as its operators land)."""
+"""Corpus pipeline: toxicity, near-duplicates, benchmark contamination, mixing and
+sharding of ``documents``, each stage on all that the one before kept.
 
-STAGES = []
+Every stage is written as Parquet in the shared folder and read again, so a lost
+executor never repeats more than a stage.  No SQL can express the learnt and
+tree-based stages (ORACLE_SQL is None); tests hold run() against brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from mercato.llm import decontaminate, hilbert_shards, mixing, simhash_vptree, toxic_segments
+from mercato.llm.common import materialise, read_table
+
+#: The mixture: nine tenths of the tokens that came this far, nothing repeated.
+MIX = mixing.Mix(budget_permille=900, epochs=1, seed=mixing.PRODUCTION.seed, weights=mixing.PRODUCTION.weights)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity operator rejects go."""
+    return toxic_segments.keep_clean(docs, read_table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash_vptree.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item go."""
+    return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mixture takes stay."""
+    return mixing.select(docs, MIX)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document gets its shard and its slot there."""
+    return hilbert_shards.assign(docs)
+
+
+STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("mixture", mixture), ("sharding", sharding)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
