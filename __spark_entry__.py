@@ -9,11 +9,13 @@ engines hand back the same types.
 
 from __future__ import annotations
 
+import datetime
 import sys
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -42,9 +44,7 @@ except ModuleNotFoundError as missing:
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 AS_OF = TEST_AS_OF
-# The test tables hold ~25 order lines per day over six years: month
-# partitions give sensible file sizes there (production default: "day").
-DEMO_UNIT = "month"
+DEMO_UNIT = "day"
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -86,7 +86,8 @@ def q_recent_orders(spark, sf_dir):
 
 
 def q_preview_orders(spark, sf_dir):
-    return _report(sales.preview_orders(_tables(spark, sf_dir)["orders"]))
+    orders = _tables(spark, sf_dir)["orders"]
+    return _report(sales.preview_orders(orders.orderBy(*orders.columns)))
 
 
 def q_recent_order_details(spark, sf_dir):
@@ -115,7 +116,7 @@ def q_daily_sales_summary(spark, sf_dir):
 # ---------------------------------------------------------------- customers
 def _clv(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return cust.clv(t["customers"], t["orders"], AS_OF)
+    return cust.clv(t["customers"], t["sold_orders"], AS_OF)
 
 
 def q_clv(spark, sf_dir):
@@ -141,7 +142,7 @@ def q_rfm_ntile(spark, sf_dir):
 # ---------------------------------------------------------------- products
 def _performance(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return prod.category_performance(t["orders"], t["products"])
+    return prod.category_performance(t["sold_orders"], t["products"])
 
 
 def _analysis(spark, sf_dir):
@@ -196,22 +197,27 @@ def q_save_clv(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- data quality
+def _saved_clv(spark, sf_dir):
+    """The table that was built: quality checks read its files."""
+    return sinks.save_table(_clv(spark, sf_dir), "customer_lifetime_value")
+
+
 def q_dq_clv_unique(spark, sf_dir):
-    return quality.unique_check(_clv(spark, sf_dir), "customer_id")
+    return quality.unique_check(_saved_clv(spark, sf_dir), "customer_id")
 
 
 def q_dq_clv_not_null(spark, sf_dir):
-    clv = _clv(spark, sf_dir)
+    clv = _saved_clv(spark, sf_dir)
     return (quality.not_null_check(clv, "customer_id")
             .unionByName(quality.not_null_check(clv, "total_orders")))
 
 
 def q_dq_clv_accepted_tier(spark, sf_dir):
-    return quality.accepted_values_check(_clv(spark, sf_dir), "customer_tier", cust.TIERS)
+    return quality.accepted_values_check(_saved_clv(spark, sf_dir), "customer_tier", cust.TIERS)
 
 
 def q_dq_report(spark, sf_dir):
-    return quality.quality_report(_clv(spark, sf_dir), unique=["customer_id"],
+    return quality.quality_report(_saved_clv(spark, sf_dir), unique=["customer_id"],
                                   not_null=["customer_id", "total_orders"],
                                   accepted={"customer_tier": cust.TIERS})
 
@@ -223,18 +229,15 @@ def q_external_table_scan(spark, sf_dir):
     return _report(orders_from(raw["lineitem"], raw["orders"], raw["part"]))
 
 
-def q_describe_sources(spark, sf_dir):
-    return catalog.describe_tables(spark, _tables(spark, sf_dir))
-
-
 def q_snapshot_refresh(spark, sf_dir):
     orders = _tables(spark, sf_dir)["orders"]
+    # the older snapshot: every order still pending
     first = scratch_path(spark, "orders_snapshot")
-    catalog.stage_orders(orders, first)
+    catalog.stage_orders(orders.withColumn("status", F.lit("PENDING")), first)
     catalog.register_external_table(spark, "ext_orders_snapshot", first)
     second = scratch_path(spark, "orders_snapshot")
     catalog.stage_orders(orders, second)
-    return _report(catalog.refresh_snapshot(spark, "ext_orders_snapshot", second))
+    return _report(catalog.refresh_snapshot(spark, "ext_orders_snapshot", second).drop("order_month"))
 
 
 # ---------------------------------------------------------------- refresh / streaming
@@ -244,14 +247,16 @@ def q_hourly_refresh_full(spark, sf_dir):
                                         scratch_path(spark, "hourly_full"), DEMO_UNIT))
 
 
-def _landing(spark, sf_dir, batches=4):
-    """Stage the bound orders as month-partitioned files: the arriving
-    stream, read in about ``batches`` micro-batches."""
+FILES_PER_TRIGGER = 32
+
+
+def _landing(spark, sf_dir):
+    """Stage the bound orders as month-partitioned files: the arriving stream,
+    FILES_PER_TRIGGER to a micro-batch."""
     t = _tables(spark, sf_dir)
     landing = scratch_path(spark, "orders_landing")
-    staged = catalog.stage_orders(t["orders"], landing)
-    n_files = len(staged.inputFiles())
-    return t, landing, max(1, -(-n_files // batches))
+    catalog.stage_orders(t["orders"], landing)
+    return t, landing, FILES_PER_TRIGGER
 
 
 def _run_incremental(spark, sf_dir):
@@ -276,17 +281,28 @@ def q_refresh_history(spark, sf_dir):
     return refresh.refresh_history(spark, history, 10)
 
 
+EXACT_STREAM_COLUMNS = [c for c in sales.HOURLY_COLUMNS if c not in ("total_orders", "unique_customers")]
+
+
 def q_hourly_stream_windowed(spark, sf_dir):
-    t, landing, per_trigger = _landing(spark, sf_dir, batches=2)
-    out = scratch_path(spark, "hourly_windowed")
-    windowed = refresh.windowed_hourly_stream(
-        refresh.order_stream(spark, landing, per_trigger), t["products"])
-    query = (windowed.writeStream.outputMode("append").format("parquet")
-             .option("path", out)
-             .option("checkpointLocation", scratch_path(spark, "stream_checkpoint"))
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return _report(spark.read.parquet(out))
+    t, landing, per_trigger = _landing(spark, sf_dir)
+    # the files of a finished feed come in any order: the delay covers its span
+    span = spark.read.parquet(landing).agg(F.min("order_date").alias("a"), F.max("order_date").alias("b")).first()
+    days = (span.b - span.a).days + 2
+    end = span.b + datetime.timedelta(days=days + 1)
+    out, checkpoint = scratch_path(spark, "hourly_windowed"), scratch_path(spark, "stream_checkpoint")
+    # the feed is read to its end, then heartbeats close the last windows
+    for closing in (False, True):
+        if closing:
+            refresh.heartbeats(spark, f"{landing}/order_month={end:%Y-%m}", end)
+        windowed = refresh.windowed_hourly_stream(
+            refresh.order_stream(spark, landing, 1 if closing else per_trigger), t["products"], f"{days} days")
+        query = (windowed.writeStream.outputMode("append").format("parquet").option("path", out)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        query.awaitTermination()
+        if refresh.dropped_lines(query):
+            raise RuntimeError("the delay doesn't cover the feed: lines were dropped")
+    return _report(spark.read.parquet(out).select(*EXACT_STREAM_COLUMNS))
 
 
 # ---------------------------------------------------------------- pipeline / run log
@@ -299,13 +315,23 @@ def q_run_step_history(spark, sf_dir):
     return pipeline.step_history(steps, RUN_STEPS_AS_OF, 24, 20)
 
 
+def _run_rows(spark, sf_dir):
+    """This run's rows of the log, clock values as null flags."""
+    run_id = pipeline.run_pipeline(spark, _tables(spark, sf_dir), AS_OF, unit=DEMO_UNIT)
+    return spark.table(pipeline.RUN_LOG).where(F.col("run_id") == run_id)
+
+
+def _flags(log):
+    return log.select("pipeline_name", "status", "summary", F.col("started_at").isNotNull().alias("has_start"),
+                      F.col("completed_at").isNotNull().alias("has_end"))
+
+
 def q_run_log_append(spark, sf_dir):
-    pipeline.run_pipeline(spark, _tables(spark, sf_dir), AS_OF, unit=DEMO_UNIT)
-    return spark.table(pipeline.RUN_LOG)
+    return _flags(_run_rows(spark, sf_dir))
 
 
 def q_run_log_tail(spark, sf_dir):
-    return pipeline.run_log_tail(q_run_log_append(spark, sf_dir), 10)
+    return _flags(pipeline.run_log_tail(_run_rows(spark, sf_dir), 10))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -352,7 +378,6 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_clv_accepted_tier": q_dq_clv_accepted_tier,
         "dq_report": q_dq_report,
         "external_table_scan": q_external_table_scan,
-        "describe_sources": q_describe_sources,
         "snapshot_refresh": q_snapshot_refresh,
         "hourly_refresh_full": q_hourly_refresh_full,
         "hourly_refresh_incremental": q_hourly_refresh_incremental,

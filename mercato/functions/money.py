@@ -80,8 +80,9 @@ _LOW_MASK = (1 << _LOW_BITS) - 1
 
 
 def minor_units(c: Column | str, scale: int = 2) -> Column:
-    """DECIMAL(p, scale) as its unscaled LONG (cents for money)."""
-    return (_c(c) * F.lit(10 ** scale)).cast("long")
+    """A number as LONG units of ``10 ** -scale`` (cents for money); digits beyond
+    that are rounded half away from zero, never cut off."""
+    return F.round(_c(c) * F.lit(10 ** scale), 0).cast("long")
 
 
 def exact_sum(units: Column, scale: int) -> Column:

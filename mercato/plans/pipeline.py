@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from mercato.functions.timefn import as_of_col, seconds_between
 from mercato.sources.sinks import table_location
 
+# The name and the messages that the log is expected to hold.
 PIPELINE_NAME = "e-commerce_analytics"
 RUN_LOG = "pipeline_run_log"
 
@@ -40,14 +41,10 @@ def log_event(spark: SparkSession, run_id: str, status: str, name: str = RUN_LOG
               summary: str | None = None, pipeline: str = PIPELINE_NAME) -> None:
     """INSERT one run-log row; the start row sets started_at, others completed_at."""
     time_col = "started_at" if status == "STARTED" else "completed_at"
-    row = spark.createDataFrame(
-        [(run_id, pipeline, status, summary)],
-        "run_id string, pipeline_name string, status string, summary string")
-    row.createOrReplaceTempView("_mercato_log_row")
     spark.sql(f"""
         INSERT INTO {name} (run_id, pipeline_name, status, {time_col}, summary)
-        SELECT run_id, pipeline_name, status, current_timestamp(), summary
-        FROM _mercato_log_row""")
+        SELECT :run_id, :pipeline, :status, current_timestamp(), CAST(:summary AS STRING)""",
+              args={"run_id": run_id, "pipeline": pipeline, "status": status, "summary": summary})
 
 
 def new_run_id() -> str:
@@ -85,11 +82,16 @@ def step_history(steps: DataFrame, as_of=None, hours: int = 24, n: int = 20) ->
 
 
 def steps_from_run_log(log: DataFrame) -> DataFrame:
-    """Pair each run's start and finish rows: (run_id, name, started_at, completed_at)."""
+    """Pair each run's start and finish rows: (run_id, name, started_at, completed_at,
+    state, message): a run without a finish row is still STARTED, the message of a
+    FAILED one is its error."""
     return (log.groupBy("run_id")
             .agg(F.first("pipeline_name", ignorenulls=True).alias("name"),
                  F.min("started_at").alias("started_at"),
-                 F.max("completed_at").alias("completed_at")))
+                 F.max("completed_at").alias("completed_at"),
+                 F.coalesce(F.max(F.when(F.col("status") != "STARTED", F.col("status"))),
+                            F.lit("STARTED")).alias("state"),
+                 F.max(F.when(F.col("status") != "STARTED", F.col("summary"))).alias("message")))
 
 
 def run_pipeline(spark: SparkSession, tables: dict[str, DataFrame], as_of=None,
@@ -102,6 +104,8 @@ def run_pipeline(spark: SparkSession, tables: dict[str, DataFrame], as_of=None,
     """
     from mercato.plans import customers as cust
     from mercato.plans import products as prod
+    from mercato.session import scratch_path
+    from mercato.sources.catalog import stage_orders
     from mercato.sources.sinks import save_table
     from mercato.streaming.refresh import refresh_full
 
@@ -109,18 +113,20 @@ def run_pipeline(spark: SparkSession, tables: dict[str, DataFrame], as_of=None,
     run_id = new_run_id()
     log_event(spark, run_id, "STARTED", log_name)
     try:
-        hourly = refresh_full(tables["orders"], tables["products"],
+        # the order lines are joined once and read three times
+        orders = stage_orders(tables["orders"], scratch_path(spark, "run-orders"))
+        hourly = refresh_full(orders, tables["products"],
                               hourly_location or table_location(spark, "dt_hourly_sales_metrics"),
                               unit)
-        clv_table = save_table(cust.clv(tables["customers"], tables["orders"], as_of),
+        clv_table = save_table(cust.clv(tables["customers"], orders, as_of),
                                "customer_lifetime_value")
         analysis = prod.product_analysis(
-            prod.category_performance(tables["orders"], tables["products"]))
+            prod.category_performance(orders, tables["products"]))
         save_table(prod.product_category_analysis(analysis, as_of), "product_category_analysis")
         messages = [row["message"] for row in
                     output_row_counts(hourly, clv_table).orderBy("output_name").collect()]
     except Exception as exc:
-        log_event(spark, run_id, "FAILED", log_name, summary=str(exc)[:1000])
+        log_event(spark, run_id, "FAILED", log_name, summary=str(exc))
         raise
     log_event(spark, run_id, "COMPLETED", log_name, summary="; ".join(messages))
     return run_id

@@ -32,7 +32,7 @@ HOURLY_COLUMNS = (
 )
 
 
-def _status_count(status: str):
+def status_count(status: str):
     return F.count(F.when(F.col("status") == status, F.lit(1)))
 
 
@@ -62,10 +62,10 @@ def hourly_sales_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:
             avg_of("quantity").alias("avg_units_per_order"),
             cost.alias("total_cost"),
             (net - cost).alias("gross_profit"),
-            _status_count("COMPLETED").alias("completed_orders"),
-            _status_count("PENDING").alias("pending_orders"),
-            _status_count("PROCESSING").alias("processing_orders"),
-            _status_count("SHIPPED").alias("shipped_orders"),
+            status_count("COMPLETED").alias("completed_orders"),
+            status_count("PENDING").alias("pending_orders"),
+            status_count("PROCESSING").alias("processing_orders"),
+            status_count("SHIPPED").alias("shipped_orders"),
         )
     )
 
@@ -125,8 +125,8 @@ def recent_orders(orders: DataFrame, n: int = 5) -> DataFrame:
 
 
 def preview_orders(orders: DataFrame, n: int = 5) -> DataFrame:
-    """Row preview; ordered on all columns so the preview is repeatable."""
-    return orders.orderBy(*orders.columns).limit(n)
+    """Row preview: any ``n`` rows (order the table first if they must repeat)."""
+    return orders.limit(n)
 
 
 def recent_order_details(orders: DataFrame, customers: DataFrame, products: DataFrame,

@@ -3,8 +3,8 @@
 The library never creates its own cluster settings for production: the
 session is handed in.  ``local_session`` exists for tests and the bench.
 Storage that must survive executor loss (checkpoints, staged tables,
-stream state) lives below ``spark.checkpoint.dir`` when the cluster names
-one; only when it is unset (tests, local runs) do we set our own.
+stream state) lives below ``spark.checkpoint.dir``; tables and logs that must
+survive the session live in the warehouse.
 """
 
 from __future__ import annotations
@@ -50,31 +50,35 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged data.
+    """Shared folder for checkpoints and intermediate data.
 
-    Uses ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir) when
-    the cluster names one.  Otherwise falls back to a folder below the SQL
-    warehouse directory and registers it as the checkpoint dir, so that
-    ``DataFrame.checkpoint()`` works the same way.
+    ``spark.checkpoint.dir`` where the cluster names one.  A local session (tests,
+    the bench) may do without: its checkpoint dir, or else one below the warehouse,
+    is used.  Anything else raises: intermediate data on one machine's disk would
+    be lost to the others.
     """
     root = _conf(spark, "spark.checkpoint.dir")
     if root is None:
-        try:
-            root = spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
-        except Exception:  # pragma: no cover
-            root = None
-    if root is None:
-        warehouse = _conf(spark, "spark.sql.warehouse.dir") or "spark-warehouse"
-        if "://" not in warehouse:
-            warehouse = os.path.abspath(warehouse.replace("file:", ""))
-        root = warehouse.rstrip("/") + "/_mercato_checkpoints"
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # pragma: no cover - e.g. Spark Connect
-            pass
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = context._jsc.sc().getCheckpointDir()
+        if found.isDefined():
+            return found.get().rstrip("/")
+        root = storage_root(spark) + "/_checkpoints"
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def storage_root(spark: SparkSession) -> str:
+    """Folder of durable tables and logs: the same in every session that has the
+    same warehouse, and apart from checkpoints."""
+    warehouse = _conf(spark, "spark.sql.warehouse.dir") or "spark-warehouse"
+    if ":/" not in warehouse:
+        warehouse = os.path.abspath(warehouse)
+    return warehouse.rstrip("/") + "/mercato"
+
+
 def task_slots(spark: SparkSession) -> int:
     """Tasks the cluster runs at once (``defaultParallelism``)."""
     try:

@@ -1,35 +1,29 @@
-"""Table writers: overwrite a named table, append rows, read back.
+"""Table writers: overwrite a named table, read it back.
 
-Named tables are external tables whose files sit below the shared
-checkpoint root (``spark.checkpoint.dir``), never on a machine-local
-temporary folder.
+Named tables are external tables whose files sit in the warehouse, apart from
+checkpoints, so that a later session finds them.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.session import checkpoint_root
+from mercato.session import storage_root
+from mercato.sources.catalog import register_external_table
 
 
 def table_location(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark)}/tables/{name.replace('.', '/')}"
+    return f"{storage_root(spark)}/tables/{name.replace('.', '/')}"
 
 
 def save_table(df: DataFrame, name: str, location: str | None = None,
                partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Replace table ``name`` with ``df`` (CREATE OR REPLACE semantics)."""
-    spark = df.sparkSession
-    writer = (df.write.mode("overwrite").format("parquet")
-              .option("path", location or table_location(spark, name)))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    return spark.table(name)
-
-
-def append_rows(df: DataFrame, name: str) -> DataFrame:
-    """INSERT INTO name SELECT ... (columns matched by name)."""
+    """Replace table ``name`` with ``df``: the new version is written to a folder of
+    its own, and the name points there only when it is complete, so readers of the
+    old version keep their files."""
     spark = df.sparkSession
-    df.select(*spark.table(name).columns).write.mode("append").insertInto(name)
-    return spark.table(name)
+    path = f"{location or table_location(spark, name)}/v-{uuid.uuid4().hex[:12]}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    return register_external_table(spark, name, path)

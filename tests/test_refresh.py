@@ -66,3 +66,11 @@ def test_run_log_grows_by_two_rows_per_run(spark, scratch):
     assert all(r["created_at"] is not None for r in log)
     steps = pipeline.steps_from_run_log(spark.table(name)).collect()
     assert len(steps) == 1 and steps[0]["completed_at"] >= steps[0]["started_at"]
+    assert steps[0]["state"] == "COMPLETED"
+    # a failing step shows as FAILED with its whole error; the log keeps growing
+    import pytest
+    with pytest.raises(Exception):
+        pipeline.run_pipeline(spark, t | {"products": t["products"].drop("category")},
+                              "2001-08-02 00:00:00", log_name=name)
+    states = {s["state"]: s["message"] for s in pipeline.steps_from_run_log(spark.table(name)).collect()}
+    assert set(states) == {"COMPLETED", "FAILED"} and "category" in states["FAILED"]

@@ -16,7 +16,7 @@ from sql_oracle import BASE, CLV, CLV_OUT
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in decimals_to_double(df.select(*sales.HOURLY_COLUMNS)).collect())
+    return sorted((tuple(r) for r in decimals_to_double(df.select(*sales.HOURLY_COLUMNS)).collect()), key=str)
 
 
 def test_stream_restart_processes_each_file_once(spark, scratch):
@@ -68,3 +68,59 @@ def test_hourly_on_dense_orders_matches_oracle(spark):
     ok, msg = compare(got, duck(sf), "WITH " + base + "," + HOURLY + HOURLY_OUT)
     assert ok, msg
     assert got.count() < 10000  # many lines per group
+
+
+def _exact(df):
+    columns = [c for c in sales.HOURLY_COLUMNS if c not in ("total_orders", "unique_customers")]
+    return sorted((tuple(r) for r in decimals_to_double(df.select(*columns)).collect()), key=str)
+
+
+def _order(order_id, day, status="PENDING", quantity=2, product=1):
+    import datetime
+    from decimal import Decimal
+    at = None if day is None else datetime.datetime(2001, 7, day, 10, 0)
+    return (order_id, 1, product, quantity, Decimal("10.00"), Decimal("0.00"), at, status)
+
+
+def test_incremental_equals_full_after_each_batch(spark, scratch):
+    """Late and undated lines, an order sent again (same and other day), new products."""
+    def products(ids):
+        return spark.createDataFrame([(i, f"c{i}", "s", 3.0) for i in ids],
+                                     "product_id long, category string, subcategory string, cost_price double")
+
+    handler = refresh.IncrementalHourlyRefresh(products([1]), f"{scratch}/base", f"{scratch}/result")
+    batches = [[_order(1, 3), _order(2, 3), _order(3, None)],
+               [_order(1, 3, "COMPLETED"), _order(4, 1)],          # changed status, late day
+               [_order(2, 5, "SHIPPED"), _order(5, 2, product=9)],  # moved to another day, unknown product
+               [_order(4, 7)]]                                      # day 1 is left empty
+    newest = {}
+    for k, rows in enumerate(batches):
+        handler(spark.createDataFrame(rows, refresh.ORDERS_SCHEMA), k)
+        newest |= {r[0]: r for r in rows}
+        full = sales.hourly_sales_metrics(
+            spark.createDataFrame(list(newest.values()), refresh.ORDERS_SCHEMA), products([1]))
+        assert _rows(refresh.read_hourly(spark, f"{scratch}/result")) == _rows(full)
+    handler(spark.createDataFrame(batches[-1], refresh.ORDERS_SCHEMA), 3)  # a batch replayed
+    handler.products_changed(spark, products([1, 9]))
+    full = sales.hourly_sales_metrics(
+        spark.createDataFrame(list(newest.values()), refresh.ORDERS_SCHEMA), products([1, 9]))
+    got = decimals_to_double(refresh.read_hourly(spark, f"{scratch}/result").select(*sales.HOURLY_COLUMNS))
+    assert sorted(map(str, got.collect())) == sorted(map(str, decimals_to_double(full).collect()))
+
+
+def test_windowed_stream_does_not_depend_on_batches(spark, monkeypatch):
+    import __spark_entry__ as entry
+    t = load_base_tables(spark, SF_SMALL)
+    want = _exact(sales.hourly_sales_metrics(t["orders"], t["products"]))
+    for per_trigger in (10, 40):
+        monkeypatch.setattr(entry, "FILES_PER_TRIGGER", per_trigger)
+        assert sorted((tuple(r) for r in entry.q_hourly_stream_windowed(spark, SF_SMALL).collect()), key=str) == want
+
+
+def test_money_is_rounded_never_cut(spark):
+    from decimal import Decimal
+    from mercato.functions.money import sum_gross
+    doubles = spark.createDataFrame([(1, 19.99), (3, 1.13), (1, -2.29)], "quantity int, unit_price double")
+    assert doubles.agg(sum_gross().alias("s")).first().s == Decimal("21.09")
+    finer = spark.createDataFrame([(1, Decimal("0.0199"))], "quantity int, unit_price decimal(12,4)")
+    assert finer.agg(sum_gross().alias("s")).first().s == Decimal("0.02")
