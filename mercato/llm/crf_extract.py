@@ -321,8 +321,11 @@ def landmark_labels(blocks: list[Block]) -> list[int] | None:
 
 def fit(pages: DataFrame, html_col: str = "html") -> Field:
     """The field trained on the templates and on SAMPLE_PAGES of ``pages``."""
+    total = max(1, pages.count())
+    share = min(1_000_000, -(-SAMPLE_PAGES * 2_000_000 // total))  # twice the sample, so that few rows are sorted
     sample = (pages.select(F.col(f"`{html_col}`").alias("html")).where("length(html) < 200000")
-              .select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(SAMPLE_PAGES).collect())
+              .select("html", F.xxhash64("html").alias("h")).where(F.expr(f"pmod(h, 1000000) < {share}"))
+              .orderBy("h").limit(SAMPLE_PAGES).collect())
     labelled = []
     for page in template_pages():
         blocks = blocks_of(page)
