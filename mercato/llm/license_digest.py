@@ -41,6 +41,9 @@ Anyone is free to copy, modify, publish, use, compile, sell, or distribute this
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
 }
 
+#: Known texts that a scan takes at most.
+MAX_KNOWN = 10_000
+
 # Spellings that count as one, after case and punctuation are gone.
 EQUIVALENT = (
     ("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"),
@@ -92,19 +95,21 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     lines.  Null texts count as empty, which is no licence.  Repeated rows give
     repeated results; other columns play no part.
 
-    The known digests are a fixed list whose size the caller sets; the planner
-    broadcasts them below its threshold and shuffles by digest beyond it.  Lines
-    are looked up only in documents in which some line can be a notice, by the
-    words that every known text has at least one of.
+    The known digests are a list that the caller sets, of MAX_KNOWN texts at most
+    (more raise a ValueError): about 100 bytes each, so that the join broadcasts them
+    and no text is moved.  Lines are looked up only in documents in which some line
+    can be a notice, by the words that every known text has at least one of.
     """
     spark = docs.sparkSession
     known = known if known is not None else known_digests(spark)
+    # one map from digest to name: bounded by the known texts, not by the documents
+    names = {r.license_digest: r.license for r in known.limit(MAX_KNOWN + 1).collect()}
+    if len(names) > MAX_KNOWN:
+        raise ValueError(f"more than {MAX_KNOWN} known licence texts")
     narrow = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     whole = (narrow.select("doc_id", "text", digest(F.col("text")).alias("canonical_digest"))
-             .join(known, F.col("canonical_digest") == F.col("license_digest"), "left")
+             .join(F.broadcast(known), F.col("canonical_digest") == F.col("license_digest"), "left")
              .drop("license_digest"))
-    # one map from digest to name: bounded by the known texts, not by the documents
-    names = {r.license_digest: r.license for r in known.collect()}
     table = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1),
                      lambda x: F.rlike(x, F.lit(_HINT)))
