@@ -222,11 +222,14 @@ def _logistic(rows: list[tuple[float, int, int]]) -> tuple[float, float]:
 # ------------------------------------------------------------------ operator
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Texts and labels of the rows that may be learnt from: those whose
-    crc32(doc_id as text) isn't a multiple of 5.  Null labels are left out."""
+    crc32(doc_id as text) isn't a multiple of 5.  Null labels are left out.
+
+    Labels grow with the documents, so they are never broadcast: both sides are
+    dealt by doc_id at every size."""
     key = F.col("doc_id").cast("string")
     ours = labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         (F.crc32(key.cast("binary")) % 5 != 0) & F.col("toxic").isin(0, 1))
-    return docs.select("doc_id", "text").join(ours, "doc_id").select("doc_id", "text", "toxic")
+    return docs.select("doc_id", "text").join(ours.hint("merge"), "doc_id").select("doc_id", "text", "toxic")
 
 
 def detect(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
