@@ -1,35 +1,33 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: an exact word-count filter, then Smith-Waterman alignment.
 
-Word n-grams of the test items are looked up in every document; their document
-counts over the whole corpus tell which are rare.  A document that shares a rare
-seed with an item is aligned with it around the shared places: local alignment of
-words (Smith and Waterman 1981) finds edited and paraphrased copies, scored as a
-share of what the item would score against itself.
+A document is contaminated by an item if their local alignment of words (Smith and
+Waterman 1981), which finds edited and paraphrased copies, scores a stated share of
+what the item would score against itself.  Every pair that can reach the share is
+aligned: a passage that does is at most so many words long and holds at least so
+many words of the item, whatever was changed in it and however many documents
+hold it.  So windows of the text are compared by word counts, then bounded by the
+best sum of hits and misses, and only what passes both is aligned.
 
 Items are a stated query set: they go to the executors in blocks of at most
-BLOCK_SEEDS seeds, one pass over the documents per block, so neither the seeds nor
-the items of a pass outgrow a fixed size.  Seeds travel, documents don't.
+BLOCK_WORDS words, one pass over the documents per block, so the items of a pass
+don't outgrow a fixed size.  Items travel, documents don't.
 """
 
 from __future__ import annotations
 
-import math
 import re
-from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import WORD, map_rows, materialise
+from mercato.llm.common import WORD, map_rows, materialise, words_of
 
-N = 3  # words in a seed
-RARE_SHARE = 1e-3  # a seed is rare if at most this share of the documents has it
-RAREST = 10  # the rarest seeds of an item are kept whatever their count
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE = 0.5  # of an item's own score, for a document to count as contaminated
-BLOCK_SEEDS = 1_000_000
-SLACK = 1.5  # an aligned passage may be so much longer than its item
+BLOCK_WORDS = 1_000_000
+SLICE = 1_000_000  # pairs of window and item that are counted at once
+SPELLINGS = 300_000  # of words that a worker remembers
 
 _EDGE = re.compile(r"^\W+|\W+$")
 
@@ -81,55 +79,126 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int
     return best
 
 
-# ------------------------------------------------------------------ seeds
+# ------------------------------------------------------------------ items
+class _Numbers(dict):
+    """Word as spelt: its number among the items' words, -1 if it is none of
+    them, -2 if nothing but punctuation."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __reduce__(self):
+        return _Numbers, (self.vocabulary,)
+
+    def __missing__(self, spelt: str) -> int:
+        word = spelt if spelt[0].isalnum() and spelt[-1].isalnum() else _EDGE.sub("", spelt)
+        number = self.vocabulary.get(word, -1) if word else -2
+        if len(self) < SPELLINGS:
+            self[spelt] = number
+        return number
+
+
 class Items:
-    """The items of one pass: words by number, seeds by key."""
-
-    def __init__(self, rows: list[tuple[int, list[str]]]):
-        self.vocabulary: dict[str, int] = {}
-        number = self.vocabulary.setdefault
-        self.words = {i: np.array([number(w, len(self.vocabulary)) for w in words], np.int64)
-                      for i, words in rows}
-        self.at: dict[int, list[tuple[int, int]]] = defaultdict(list)  # key: (item, place)
-        for i, words in self.words.items():
-            for p, key in enumerate(self.keys(words).tolist()):
-                self.at[key].append((i, p))
-        self.known = np.array(sorted(self.at), np.int64)
-
-    def keys(self, words: np.ndarray) -> np.ndarray:
-        """Keys of the seeds that begin at each place; items shorter than a seed
-        are one seed themselves, padded; -1 where a word is unknown."""
-        v = len(self.vocabulary) + 1
-        w = words + 1
-        if len(w) < N:
-            w = np.concatenate([w, np.zeros(N - len(w), np.int64)]) if len(w) else w
-        if not len(w):
-            return np.zeros(0, np.int64)
-        a, b, c = w[:-2], w[1:-1], w[2:]
-        return np.where((a > 0) & ((b > 0) | (len(words) < N)) & ((c > 0) | (len(words) < N)),
-                        (a * v + b) * v + c, -1)
-
-    def find(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers of a text, and place and key of the seeds in it."""
-        get = self.vocabulary.get
-        words = np.array([get(w, -1) for w in normal_words(text)], np.int64)
-        if not len(words) or not len(self.known):
-            return words, np.zeros(0, np.int64), np.zeros(0, np.int64)
-        keys = self.keys(words)
-        spot = np.searchsorted(self.known, keys)
-        spot[spot == len(self.known)] = 0
-        places = np.flatnonzero(self.known[spot] == keys)
-        return words, places, keys[places]
+    """The items of one pass, numbered from 0: ids (only passed on), words by
+    number, and per word the items that hold it."""
+
+    def __init__(self, rows: list[tuple[int | None, list[str]]], min_share: float = MIN_SHARE):
+        vocabulary: dict[str, int] = {}
+        number = vocabulary.setdefault
+        self.ids = [i for i, _ in rows]
+        self.words = [np.array([number(w, len(vocabulary)) for w in words], np.int64) for _, words in rows]
+        self.numbers = _Numbers(vocabulary)
+        self.min_share = min_share
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        # 2 * matches - other words of the passage >= share * 2 * size, and matches <= size
+        self.need = np.maximum(1, np.ceil(min_share * sizes - 1e-9)).astype(np.int64)
+        self.reach = max(1, int(np.ceil((3 - 2 * min_share) * sizes.max(initial=1))))
+        pairs, self.times = np.unique(
+            np.concatenate([w * len(rows) + i for i, w in enumerate(self.words)] or [np.zeros(0, np.int64)]),
+            return_counts=True)
+        self.holder = pairs % max(1, len(rows))
+        self.first = np.searchsorted(pairs, np.arange(len(vocabulary) + 1) * len(rows))
+
+    def numbered(self, text: str | None) -> np.ndarray:
+        """Word numbers of a text, -1 where no item has the word."""
+        spelt = words_of((text or "").lower())
+        words = np.fromiter(map(self.numbers.__getitem__, spelt), np.int64, len(spelt))
+        return words[words > -2]
+
+    def candidates(self, texts: list[np.ndarray]) -> list[tuple[int, int]]:
+        """(text, item) of every pair of which some window of the text has as many
+        of the item's words as the share needs.  A window is two cells of
+        ``reach`` words, the next one begins a cell later: each passage that
+        can reach the share lies in one of them."""
+        n = len(self.words)
+        cells = np.cumsum([0] + [len(w) // self.reach + 1 for w in texts])
+        codes = []
+        for t, w in enumerate(texts):
+            at = np.flatnonzero(w >= 0)
+            cell = cells[t] + at // self.reach
+            code = cell * len(self.first) + w[at]
+            codes += [code, code[cell > cells[t]] - len(self.first)]
+        if not codes or not n:
+            return []
+        codes, count = np.unique(np.concatenate(codes), return_counts=True)
+        window, word = np.divmod(codes, len(self.first))
+        size = self.first[word + 1] - self.first[word]
+        ends = np.cumsum(size)
+        found, begin = set(), 0
+        while begin < len(codes):
+            # whole windows, until the pairs or the counters fill a slice
+            low = ends[begin] - size[begin]
+            end = min(np.searchsorted(ends, low + SLICE, "right"),
+                      np.searchsorted(window, window[begin] + max(1, SLICE // n)))
+            if end < len(codes):
+                end = np.searchsorted(window, window[end])
+            if end <= begin:
+                end = np.searchsorted(window, window[begin], "right")
+            part = slice(begin, end)
+            of = np.repeat(np.arange(begin, end), size[part])
+            spot = self.first[word[of]] + np.arange(len(of)) - (ends[of] - size[of] - low)
+            key = (window[of] - window[begin]) * n + self.holder[spot]
+            hits = np.bincount(key, np.minimum(self.times[spot], count[of]))
+            for k in np.flatnonzero(hits >= np.resize(self.need, len(hits))).tolist():
+                found.add((int(np.searchsorted(cells, window[begin] + k // n, "right")) - 1, k % n))
+            begin = end
+        return sorted(found)
+
+    def align(self, words: np.ndarray, item: int) -> tuple[float, int, int] | None:
+        """Share of its own score, first and last word of the best place of an item
+        in a text; None if it doesn't reach the share.
+
+        A word of the passage counts MATCH at most if the item has it and else
+        costs one, so only stretches whose sum reaches the share are aligned."""
+        own = MATCH * len(self.words[item])
+        has = np.zeros(len(self.first), bool)  # its last place is word -1
+        has[self.words[item]] = True
+        total = np.zeros(len(words) + 1, np.int64)
+        np.cumsum(np.where(has[words], MATCH, MISMATCH), out=total[1:])
+        if (total - np.minimum.accumulate(total)).max() / own < self.min_share:
+            return None
+        # best sum of the stretches that hold a word: its best end less its best begin
+        best = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])
+        live = np.concatenate([[0], np.minimum(best, own) / own >= self.min_share, [0]]).astype(np.int8)
+        turns = np.flatnonzero(np.diff(live)).tolist()
+        found = (0, 0, -1)
+        for a, b in zip(turns[::2], turns[1::2]):
+            score, first, last = smith_waterman(self.words[item], words[a:b])
+            if score > found[0]:
+                found = (score, a + first, a + last)
+        share = found[0] / own
+        return (share, found[1], found[2]) if found[0] and share >= self.min_share else None
 
 
 def _blocks(benchmark: DataFrame):
-    """Blocks of items with at most BLOCK_SEEDS words each, in id order."""
+    """Blocks of items with at most BLOCK_WORDS words each, in id order."""
     block, size = [], 0
     for r in benchmark.orderBy(F.col("item_id").asc_nulls_first(), "text").toLocalIterator():
         words = normal_words(r.text)
-        if r.item_id is None or len(words) < N:
+        if r.item_id is None or len(words) < 3:
             continue
-        if block and size + len(words) > BLOCK_SEEDS:
+        if block and size + len(words) > BLOCK_WORDS:
             yield block
             block, size = [], 0
         block.append((r.item_id, words))
@@ -138,84 +207,29 @@ def _blocks(benchmark: DataFrame):
         yield block
 
 
-def rare_seeds(docs: DataFrame, items: Items, total: int) -> dict[int, set[int]]:
-    """Per item the keys of its rare seeds, by document counts over all ``docs``:
-    one row per seed of the block reaches the driver."""
-    def run(batches):
-        counts: dict[int, int] = defaultdict(int)
-        for b in batches:
-            for text in b["text"]:
-                for k in set(items.find(text)[2].tolist()):
-                    counts[k] += 1
-        yield {"key": list(counts), "n": list(counts.values())}
-
-    found = map_rows(docs.select("text"), run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    df = {r.key: r.n for r in found.collect()}
-    limit = max(1, math.floor(RARE_SHARE * total))
-    seeds = {}
-    for i, words in items.words.items():
-        keys = sorted(set(items.keys(words).tolist()), key=lambda k: (df.get(k, 0), k))
-        last = df.get(keys[min(RAREST, len(keys)) - 1], 0) if keys else 0
-        seeds[i] = {k for k in keys if df.get(k, 0) <= max(limit, last)}
-    return seeds
-
-
-def align_text(text: str | None, items: Items, seeds: dict[int, set[int]]) -> list[tuple[int, float, int, int]]:
-    """(item, share of its own score, first, last word) of every item that the text
-    shares a rare seed with."""
-    words, places, keys = items.find(text)
-    near: dict[int, list[int]] = defaultdict(list)
-    for p, k in zip(places.tolist(), keys.tolist()):
-        for i, at in items.at[k]:
-            if k in seeds[i]:
-                near[i].append(p - at)
-    out = []
-    for i, starts in near.items():
-        item = items.words[i]
-        room = int(len(item) * (SLACK - 1)) + N
-        own, best = MATCH * len(item), (0, 0, -1)
-        # seeds whose passages overlap are one stretch of the text
-        begin = end = None
-        for s in [*sorted(set(starts)), None]:
-            if s is not None and begin is not None and s - room <= end:
-                end = max(end, s + len(item) + room)
-                continue
-            if begin is not None:
-                a, b = max(0, begin), min(len(words), end)
-                score, first, last = smith_waterman(item, words[a:b])
-                if score > best[0]:
-                    best = (score, a + first, a + last)
-            if s is not None:
-                begin, end = s - room, s + len(item) + room
-        out.append((i, best[0] / own, best[1], best[2]))
-    return out
-
-
 # ------------------------------------------------------------------ operator
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, item_id, share, first_word, last_word) for every document and item
     whose alignment reaches ``min_share`` of the item's own score.
 
-    Texts that are null, empty or shorter than a seed match nothing, nor do such
-    items or items without an id; of items that share an id the last by text
-    counts.  Rows without an id are matched like others, repeated rows give
-    repeated results, other columns play no part, an empty table on either side
-    gives an empty result.
+    Texts that are null or empty match nothing, nor do such items, items under
+    three words or items without an id.  Rows without an id are matched like
+    others, repeated rows give repeated results, other columns play no part, an
+    empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, share double, first_word int, last_word int"
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     out = None
-    total = docs.count()
     for block in _blocks(benchmark):
-        items = Items(block)
-        seeds = rare_seeds(narrow, items, total)
+        items = Items(block, min_share)
 
-        def run(batches, items=items, seeds=seeds):
+        def run(batches, items=items):
             for b in batches:
-                rows = [(d, *m) for d, t in zip(b["doc_id"], b["text"]) for m in align_text(t, items, seeds)
-                        if m[1] >= min_share]
+                texts = [items.numbered(t) for t in b["text"]]
+                rows = [(b["doc_id"][t], items.ids[i], *m) for t, i in items.candidates(texts)
+                        if (m := items.align(texts[t], i))]
                 yield {c: [r[k] for r in rows] for k, c in
                        enumerate(("doc_id", "item_id", "share", "first_word", "last_word"))}
 
@@ -226,18 +240,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """``docs`` without the contaminated rows.  Rows are judged where they are read:
-    the seeds travel, so nothing is shuffled or joined."""
-    total = docs.count()
+    the items travel, so nothing is shuffled or joined."""
     kept = docs
     for block in _blocks(benchmark):
-        items = Items(block)
-        seeds = rare_seeds(kept.select("text"), items, total)
+        items = Items(block, min_share)
 
-        def run(batches, items=items, seeds=seeds):
+        def run(batches, items=items):
             import pyarrow as pa
             for batch in batches:
-                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                clean = [all(m[1] < min_share for m in align_text(t, items, seeds)) for t in texts]
+                texts = [items.numbered(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+                clean = [True] * len(texts)
+                for t, i in items.candidates(texts):
+                    if clean[t] and items.align(texts[t], i):
+                        clean[t] = False
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")

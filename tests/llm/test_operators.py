@@ -221,6 +221,45 @@ def test_contaminated_documents_are_found(spark, docs, none):
     assert decontaminate.matches(df, bench.limit(0)).collect() == []
 
 
+def test_large_groups_of_edited_copies_are_found(spark):
+    r = random.Random(8)
+    item = [f"i{k}" for k in range(38)]
+    edited = list(item)
+    for k in (5, 13, 21, 29):
+        edited[k] = "changed"
+    rows = [(i, f"{_text(r, 5)} {' '.join(edited)} {_text(r, 5)}") for i in range(2500)]
+    rows += [(5000 + i, _text(r, 60)) for i in range(500)]
+    # every third word changed: no two neighbours are left, still half of the item's score
+    rows.append((9000, " ".join(w if k % 3 < 2 else "x" for k, w in enumerate(item[:36]))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[:36]))], "item_id long, text string")
+    got = decontaminate.matches(df, bench).collect()
+    assert {x.doc_id for x in got if x.item_id == 1} == set(range(2500))
+    assert {x.share for x in got if x.item_id == 1} == {64 / 76}
+    assert {x.doc_id for x in got if x.item_id == 2} == {*range(2500), 9000}
+
+
+def test_filter_loses_no_pair(monkeypatch):
+    r = random.Random(3)
+    for trial in range(12):
+        monkeypatch.setattr(decontaminate, "SLICE", r.choice([5, 50, 1_000_000]))
+        vocabulary = WORDS[:r.choice([8, 60, 400])]
+        rows = [(i, [r.choice(vocabulary) for _ in range(r.randint(1, 40))]) for i in range(10)]
+        share = r.choice([0.3, 0.5, 0.8])
+        texts = []
+        for _ in range(6):
+            words = [r.choice(vocabulary) for _ in range(r.randint(0, 150))]
+            copy = [x for w in r.choice(rows)[1] for x in r.choice([[w]] * 5 + [[], ["no"], [w, "new"]])]
+            at = r.randint(0, len(words))
+            texts.append(" ".join(words[:at] + copy + words[at:]))
+        items = decontaminate.Items(rows, share)
+        numbered = [items.numbered(t) for t in texts]
+        got = {(t, i): m[0] for t, i in items.candidates(numbered) if (m := items.align(numbered[t], i))}
+        full = {(t, i): decontaminate.smith_waterman(x, w)[0] / (2 * len(x))
+                for t, w in enumerate(numbered) for i, x in enumerate(items.words)}
+        assert got == {k: v for k, v in full.items() if v >= share}
+
+
 def _components(fps: dict[int, int], bits: int = 3) -> dict[int, int]:
     ids = sorted(fps)
     up = {i: i for i in ids}
