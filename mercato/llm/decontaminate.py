@@ -192,11 +192,12 @@ class Items:
 
 
 def _blocks(benchmark: DataFrame):
-    """Blocks of items with at most BLOCK_WORDS words each, in id order."""
+    """Blocks of items with at most BLOCK_WORDS words each (or one item), in id
+    order: every row with a word is an item of its own, whatever its id."""
     block, size = [], 0
     for r in benchmark.orderBy(F.col("item_id").asc_nulls_first(), "text").toLocalIterator():
         words = normal_words(r.text)
-        if r.item_id is None or len(words) < 3:
+        if not words:
             continue
         if block and size + len(words) > BLOCK_WORDS:
             yield block
@@ -213,10 +214,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     """(doc_id, item_id, share, first_word, last_word) for every document and item
     whose alignment reaches ``min_share`` of the item's own score.
 
-    Texts that are null or empty match nothing, nor do such items, items under
-    three words or items without an id.  Rows without an id are matched like
-    others, repeated rows give repeated results, other columns play no part, an
-    empty table on either side gives an empty result.
+    Texts without a word match nothing, nor do such items.  Every other row of
+    either table is searched, also without an id (the result's is null) or with a
+    repeated one; repeated rows give repeated results, other columns play no part,
+    an empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, share double, first_word int, last_word int"

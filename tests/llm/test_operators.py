@@ -239,6 +239,20 @@ def test_large_groups_of_edited_copies_are_found(spark):
     assert {x.doc_id for x in got if x.item_id == 2} == {*range(2500), 9000}
 
 
+@pytest.mark.parametrize("block", [1_000_000, 3])
+def test_every_item_with_a_word_is_searched(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    items = [(None, "alpha beta gamma delta"), (1, "one two three four"), (1, "five six seven eight"), (2, "short item"),
+             (3, "word"), (4, None), (5, " ... "), (None, "")]
+    texts = {1: "see alpha beta gamma delta here", 2: "one two three four", 3: "five six seven eight", 4: "a short item",
+             5: "the word, here", 6: "nothing of them", 7: None, 8: "..."}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.matches(df, bench).collect()
+    assert sorted((x.doc_id, x.item_id) for x in got) == [(1, None), (2, 1), (3, 1), (4, 2), (5, 3)]
+    assert {x.doc_id for x in decontaminate.keep_clean(df, bench).collect()} == {6, 7, 8}
+
+
 def test_filter_loses_no_pair(monkeypatch):
     r = random.Random(3)
     for trial in range(12):
