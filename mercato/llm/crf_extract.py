@@ -35,6 +35,7 @@ HIDDEN_TAGS = frozenset("script style template noscript svg math object head tit
 RAW_TAGS = frozenset("script style textarea title".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+HEAD_TAGS = frozenset("html head base basefont bgsound link meta title noscript noframes script style template".split())
 ENDS_P = BLOCK_TAGS - {"body", "html", "head", "button", "label", "legend", "summary", "caption", "option"}
 
 _TOKEN = re.compile(
@@ -59,7 +60,7 @@ def blocks_of(page: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, frozenset[str], bool | None]] = []
     parts: list[str] = []
-    linked = hidden = links = 0
+    linked = hidden = links = heads = 0
 
     def flush():
         nonlocal linked
@@ -73,12 +74,13 @@ def blocks_of(page: str | None) -> list[Block]:
         linked = 0
 
     def pop():
-        nonlocal hidden, links
+        nonlocal hidden, links, heads
         tag = stack[-1][0]
         if tag in BLOCK_TAGS:
             flush()
         hidden -= tag in HIDDEN_TAGS or "#hidden" in stack[-1][1]
         links -= tag == "a"
+        heads -= tag == "head"
         stack.pop()
 
     def close(tags, limit=()):
@@ -94,6 +96,8 @@ def blocks_of(page: str | None) -> list[Block]:
     while True:
         m = _TOKEN.search(text, at)
         chunk = text[at:m.start() if m else len(text)]
+        if heads and stack[-1][0] == "head" and chunk.strip(" \t\n\r\f"):
+            close({"head"})
         if chunk and not hidden:
             parts.append(chunk)
             linked += len(chunk) if links else 0
@@ -106,6 +110,11 @@ def blocks_of(page: str | None) -> list[Block]:
         if m[1]:
             close({tag})
             continue
+        if heads and tag not in HEAD_TAGS:
+            # </head> is optional: whatever can't be in a head ends it, but what a
+            # noscript or template of it holds, only a body does
+            while heads and (tag in ("body", "frameset") or not any(t in ("noscript", "template") for t, _, _ in stack)):
+                close({"head"})
         if tag in ENDS_P:
             close({"p"}, limit=("table", "td", "th", "article", "section", "div", "body"))
         if tag in CLOSES:
@@ -130,6 +139,7 @@ def blocks_of(page: str | None) -> list[Block]:
         stack.append((tag, frozenset(names), mark))
         hidden += tag in HIDDEN_TAGS or "#hidden" in names
         links += tag == "a"
+        heads += tag == "head"
         if tag in RAW_TAGS:  # nothing inside is markup
             end = re.compile(rf"</{tag}\b", re.I).search(text, at)
             at = end.start() if end else len(text)

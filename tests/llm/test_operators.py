@@ -377,6 +377,18 @@ def test_main_text():
         crf_extract.main_text(odd, field)
 
 
+@pytest.mark.parametrize("start", [
+    "<html><head><title>x</title><body>", "<html><head><meta charset=utf-8><title>x</title>", "<head><head></head><body>",
+    "<head><script>var a = '<div>';</script><link href=x><body class=b>", "<head><noscript><style>p{}</style><body>",
+    "<head><noscript><p>Switch scripts on.</p></noscript><title>x</title></head><body>", "<html><head><title>x</title></head><body>",
+])
+def test_head_ends_without_its_end_tag(start):
+    got = crf_extract.blocks_of(start + "<article><h1>Head line</h1><p>First words.</p></article></body></html>")
+    assert [b.text for b in got] == ["Head line", "First words."]
+    assert all("head" not in b.path for b in got)
+    assert [b.text for b in crf_extract.blocks_of("<head><title>x</title>Bare words.")] == ["Bare words."]
+
+
 def test_extract_rows(spark):
     pages = [(1, "u", "<body><article><h1>A</h1><p>One, two, three. Four five six.</p></article></body>"), (2, None, None),
              (None, "u", ""), (1, "u", "x" * 300_000)]
