@@ -41,7 +41,7 @@ ENDS_P = BLOCK_TAGS - {"body", "html", "head", "button", "label", "legend", "sum
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|data-main)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"(=?[^\s/=]+|=)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']\S*))?)?")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 
@@ -126,14 +126,16 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag in VOID_TAGS:
             continue
         names, mark = set(), None
+        seen: dict[str, str] = {}
         for a in _ATTRIBUTE.finditer(m[3]):
-            value = (a[2] or a[3] or a[4] or "").lower()
-            if a[1].lower() == "data-main":
-                mark = value == "1"
-            elif a[1].lower() == "hidden":
-                names.add("#hidden")
-            else:
-                names.update(_NAME.findall(value))
+            seen.setdefault(a[1].lower(), (a[2] or a[3] or a[4] or "").lower())
+        if "data-main" in seen:
+            mark = seen["data-main"] == "1"
+        if "hidden" in seen:
+            names.add("#hidden")
+        for a in ("class", "id", "role"):
+            if a in seen:
+                names.update(_NAME.findall(seen[a]))
         if m[3].endswith("/") and tag not in BLOCK_TAGS:
             continue
         stack.append((tag, frozenset(names), mark))

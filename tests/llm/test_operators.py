@@ -389,6 +389,18 @@ def test_head_ends_without_its_end_tag(start):
     assert [b.text for b in crf_extract.blocks_of("<head><title>x</title>Bare words.")] == ["Bare words."]
 
 
+@pytest.mark.parametrize("attributes, names", [
+    ('style="overflow:hidden"', ""), ('aria-hidden="false"', ""), ('href="/hidden-valley"', ""), ("href=/hidden", ""),
+    ('title="hidden gems"', ""), ('data-id="comment-4"', ""), ("alt='class=\"menu\" hidden'", ""), ('data-hidden', ""),
+    ('id="post-4" CLASS = main role=article', "post main article"), ("class=a/b class=c", "a b"), ('x="1"id="y"', "y"),
+])
+def test_attributes_count_by_their_whole_name(attributes, names):
+    got = crf_extract.blocks_of(f"<div {attributes}><p>Some words.</p></div>")
+    assert [(b.text, b.names) for b in got] == [("Some words.", frozenset(names.split()))]
+    for hidden in ("hidden", "HIDDEN=''", "hidden/", "id=a hidden", 'title="x"hidden'):
+        assert crf_extract.blocks_of(f"<div {hidden}><p>Some words.</p></div>") == []
+
+
 def test_extract_rows(spark):
     pages = [(1, "u", "<body><article><h1>A</h1><p>One, two, three. Four five six.</p></article></body>"), (2, None, None),
              (None, "u", ""), (1, "u", "x" * 300_000)]
