@@ -12,9 +12,14 @@ carries a known one-line notice is found too.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.llm.common import ascii_lower
+
 # Texts of public licences and common notices, by SPDX name.
 KNOWN = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -32,15 +37,31 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
-    "Unlicense": """This is free and unencumbered software released into the public domain.
-
-Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
     "MIT notice": "Released under the MIT License.",
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
 }
 
+KNOWN["BSD-3-Clause"] = KNOWN["BSD-2-Clause"].replace(
+    "\n\nTHIS SOFTWARE", "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE")
+KNOWN |= {f.stem: f.read_text("utf-8") for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+
+# Title lines that stand over a text or not, and how many of a stored text's first lines are titles.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The 2-Clause BSD License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The 3-Clause BSD License",
+                     "BSD License"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"), "Zlib": ("zlib License", "The zlib License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+TITLE_LINES = {"Apache-2.0": 3, "GPL-2.0": 2, "GPL-3.0": 2, "LGPL-2.1": 2, "LGPL-3.0": 2, "MPL-1.1": 2, "MPL-2.0": 1,
+               "CC0-1.0": 2, "BSL-1.0": 1}
+_END = "END OF TERMS AND CONDITIONS"  # an appendix follows, which many copies leave out
+
 #: Known texts that a scan takes at most.
 MAX_KNOWN = 10_000
 
@@ -78,15 +99,71 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
+def _canonical(text: str) -> str:
+    """``canonical`` of a known text, in Python."""
+    out = re.sub(_COPYRIGHT_LINE, r"\1", ascii_lower(text))
+    out = f" {re.sub('[^a-z0-9\x80-\U0010ffff]+', ' ', out)} "
+    for other, chosen in EQUIVALENT:
+        out = out.replace(f" {other} ", f" {chosen} ")
+    return re.sub(" +", " ", out).strip(" ")
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """(name, text) of KNOWN, each as its copies stand: with and without title
+    lines, appendix, line breaks and (BSD) numbers of the conditions."""
+    out: dict[tuple[str, str], str] = {}
+    for name, text in KNOWN.items():
+        forms = [text]
+        if name.startswith("BSD-"):
+            forms.append(re.sub(r"(?m)^\d\. ", "* ", text))
+        forms += [f[:f.index(_END) + len(_END)] for f in forms if _END in f]
+        forms += [f"{title}\n\n{f}" for f in forms for title in TITLES.get(name, ())]
+        for f in list(forms):
+            for _ in range(TITLE_LINES.get(name, 0)):
+                f = f.lstrip().partition("\n")[2]
+                forms.append(f)
+        forms += [re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)", " ", f) for f in forms]
+        for f in forms:
+            out.setdefault((name, _canonical(f)), f)
+    return sorted((name, f) for (name, _), f in out.items())
+
+
+def _spellings(word: str) -> str:
+    """A pattern of what a word of a canonical text can be in the text itself."""
+    out = [word]
+    for other, chosen in EQUIVALENT:
+        if word in chosen.split() and word not in other.split():
+            out.append("[^a-z0-9]+".join(_spellings(w) for w in other.split()))
+    return out[0] if len(out) == 1 else f"({'|'.join(out)})"
+
+
+def line_filter(texts: list[str]) -> str:
+    """A pattern that is found in every line whose canonical form is that of one of
+    ``texts``: each text has one of its words, few words in all and long ones."""
+    left = [set(_canonical(t).split()) for t in texts]
+    chosen = []
+    while left:
+        if not all(left):
+            return ""
+        count: dict[str, int] = {}
+        for words in left:
+            for w in [w for w in words if len(w) >= 7] or [max(words, key=lambda w: (len(w), w))]:
+                count[w] = count.get(w, 0) + 1
+        best = max(count, key=lambda w: (count[w], len(w), w))
+        chosen.append(best)
+        left = [words for words in left if best not in words]
+    return "(?i)" + "|".join(_spellings(w) for w in chosen) if chosen else ""
+
+
 def known_digests(spark: SparkSession, known: dict[str, str] | None = None) -> DataFrame:
     """(license, license_digest), one row per known text; several names of one
     canonical text give the smallest."""
-    rows = spark.createDataFrame(sorted((known or KNOWN).items()), "license string, text string")
+    rows = spark.createDataFrame(known_texts() if known is None else sorted(known.items()), "license string, text string")
     return (rows.select("license", digest(F.col("text")).alias("license_digest"))
             .groupBy("license_digest").agg(F.min("license").alias("license")))
 
 
-def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id",
+def scan(docs: DataFrame, known: DataFrame | dict[str, str] | None = None, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """(doc_id, canonical_digest, license, n_notices, notices) per row of ``docs``.
 
@@ -97,11 +174,15 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
 
     The known digests are a list that the caller sets, of MAX_KNOWN texts at most
     (more raise a ValueError): about 100 bytes each, so that the join broadcasts them
-    and no text is moved.  Lines are looked up only in documents in which some line
-    can be a notice, by the words that every known text has at least one of.
+    and no text is moved.  Given as texts by name (None: ``known_texts``), lines are
+    looked up only if they have a word that every such line must have; given as
+    ``known_digests`` alone, every line is.
     """
     spark = docs.sparkSession
-    known = known if known is not None else known_digests(spark)
+    hint = ""
+    if not isinstance(known, DataFrame):
+        hint = _HINT if known is None else line_filter(list(known.values()))
+        known = known_digests(spark, known)
     # one map from digest to name: bounded by the known texts, not by the documents
     names = {r.license_digest: r.license for r in known.limit(MAX_KNOWN + 1).collect()}
     if len(names) > MAX_KNOWN:
@@ -112,7 +193,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
              .drop("license_digest"))
     table = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1),
-                     lambda x: F.rlike(x, F.lit(_HINT)))
+                     lambda x: F.rlike(x, F.lit(hint)))
     return (whole.withColumn("lines", lines)
             .withColumn("found", F.filter(F.transform("lines", lambda x: table[digest(x)]),
                                           lambda x: x.isNotNull()))
@@ -120,8 +201,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
                     F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("notices")))
 
 
-# A line can be a known text only if it has one of these words.
-_HINT = r"(?i)licen[sc]e|copyright|permission|permitted|public domain|unencumbered|hereby|warrant|redistribut"
+_HINT = line_filter([text for _, text in known_texts()])
+
 
 def _oracle() -> str:
     """The same steps as DuckDB SQL, for documents with distinct ids."""
@@ -137,7 +218,7 @@ def _oracle() -> str:
             out = f"replace({out}, {q(f' {other} ')}, {q(f' {chosen} ')})"
         return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
 
-    known = ", ".join(f"({q(k)}, {q(v)})" for k, v in sorted(KNOWN.items()))
+    known = ", ".join(f"({q(k)}, {q(v)})" for k, v in known_texts())
     return f"""
 WITH known AS (SELECT sha256({canon('t')}) AS d, min(k) AS license FROM (VALUES {known}) v(k, t) GROUP BY 1),
 docs AS (SELECT doc_id, text FROM documents),

@@ -433,6 +433,30 @@ def test_licence_digests(spark, docs, none, rows):
     assert license_digest.scan(docs).count() == len(rows) and license_digest.scan(none).collect() == []
 
 
+def test_whole_licences_are_known_with_and_without_titles(spark):
+    mit, bsd = license_digest.KNOWN["MIT"], license_digest.KNOWN["BSD-3-Clause"]
+    whole = {name: license_digest.KNOWN[name] for name in (
+        "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense", "0BSD", "Zlib", "BSL-1.0")}
+    texts = list(whole.items()) + [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 X\n\n" + mit), ("MIT", "The MIT License (MIT)\n" + mit),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + bsd),
+        ("BSD-3-Clause", bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")),
+        ("Apache-2.0", whole["Apache-2.0"].partition("END OF TERMS AND CONDITIONS")[0] + "END OF TERMS AND CONDITIONS"),
+        ("GPL-3.0", whole["GPL-3.0"].lstrip().split("\n", 2)[2]), ("Unlicense", "The Unlicense\n\n" + whole["Unlicense"]),
+        (None, whole["Unlicense"].partition("In jurisdictions")[0]), (None, whole["GPL-2.0"][:9000])]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in license_digest.scan(df).collect()}
+    assert [got[i] for i in range(len(texts))] == [name for name, _ in texts]
+
+
+def test_lines_are_looked_up_for_the_texts_passed_in(spark):
+    known = {"house": "Free for everyone, forever.", "rights": "All copyright holders sublicense it."}
+    df = spark.createDataFrame([(1, "prose\nfree for EVERYONE forever\nprose"), (2, "see:\n> all copyright owners sub-licence it")],
+                               "doc_id long, text string")
+    for given in (known, license_digest.known_digests(spark, known)):
+        assert {r.doc_id: r.notices for r in license_digest.scan(df, given).collect()} == {1: "house", 2: "rights"}
+
+
 def test_hilbert_curve_and_shards(spark, docs, none, rows):
     import itertools
     grid = spark.createDataFrame(list(itertools.product(range(16), repeat=3)), "__hb_0 int, __hb_1 int, __hb_2 int")
