@@ -25,7 +25,7 @@ FLOOR = 0.5  # its least weight per token
 MIN_DOCS = 4  # toxic documents a token must occur in to count
 MIN_Z = 2.5  # and its log-odds over their standard deviation
 MIN_ODDS = 2.5  # log-odds below which a token scores as any other
-MAX_TOKENS = 50_000  # size of the model: the tokens of highest z are kept
+MAX_TOKENS = 50_000  # clean-leaning tokens of the model: those of highest z are kept
 BACKGROUND = -0.35  # score of any other token
 MAX_SCORE = 6.0
 MAX_E = 1e-2  # a segment counts if it arises by chance less often than that
@@ -141,7 +141,8 @@ def fit(labelled: DataFrame) -> Model | None:
 
     Four fifths of the rows give the log-odds, the rest (by the hash of the text,
     so that copies stay together) the calibration.  Counts cover all rows; what
-    reaches the driver is the model (MAX_TOKENS at most) and two histograms.
+    reaches the driver is the model (every toxic-leaning token that passes the
+    thresholds, MAX_TOKENS clean-leaning ones at most) and two histograms.
     """
     rows = labelled.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(5)))
     counts = materialise(count_tokens(rows.where("fold <> 4")), "toxic-counts")
@@ -153,8 +154,10 @@ def fit(labelled: DataFrame) -> Model | None:
     odds = (F.log((n1 + p) / (sums.n1 + PRIOR - n1 - p)) - F.log((n0 + p) / (sums.n0 + PRIOR - n0 - p)))
     scored = (counts.where(F.col("d1") >= MIN_DOCS).withColumn("score", odds)
               .withColumn("z", F.col("score") / F.sqrt(1 / (n1 + p) + 1 / (n0 + p))))
-    kept = (scored.where((F.abs("z") >= MIN_Z) & (F.abs("score") >= MIN_ODDS)).orderBy(F.abs("z").desc(), "token").limit(MAX_TOKENS)
-            .select("token", "score", "n0").collect())
+    strong = scored.where((F.abs("z") >= MIN_Z) & (F.abs("score") >= MIN_ODDS)).select("token", "score", "z", "n0")
+    kept = strong.where("score > 0").collect()
+    kept += strong.where("score < 0").orderBy("z", "token").limit(MAX_TOKENS).collect()
+    kept.sort(key=lambda r: (-abs(r.z), r.token))
     tokens = {r.token: float(np.clip(r.score, -MAX_SCORE, MAX_SCORE)) for r in kept}
     if not any(s > 0 for s in tokens.values()):
         return Model({}, 1.0, 0.0, 1.0, math.log((sums.n1 + 1) / (sums.n0 + 1)) - 1)

@@ -184,6 +184,17 @@ def test_toxicity_learns_and_never_from_held_out_rows(spark, docs, none):
     assert toxic_segments.keep_clean(docs, labels).columns == docs.columns
 
 
+def test_model_keeps_every_toxic_token(spark, monkeypatch):
+    monkeypatch.setattr(toxic_segments, "MAX_TOKENS", 1)
+    r = random.Random(10)
+    vile, kind = [f"vile{k}" for k in range(6)], [f"kind{k}" for k in range(4)]
+    rows = [(i, f"{i} {_text(r, 60)} {' '.join(kind * 4)}", 0) for i in range(800)]
+    rows += [(1000 + i, f"{i} {_text(r, 60)} {' '.join(vile)} {' '.join(kind) if i < 12 else ''}", 1) for i in range(200)]
+    model = toxic_segments.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert {t for t, s in model.tokens.items() if s > 0} == set(vile)
+    assert {t for t, s in model.tokens.items() if s < 0} < set(kind) and len(model.tokens) == 7
+
+
 def test_alignment_score_is_exact():
     def brute(a, b):
         h = np.zeros((len(a) + 1, len(b) + 1), int)
