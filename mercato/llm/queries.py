@@ -6,7 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.llm import crf_extract, decontaminate, hilbert_shards, license_digest, mixing, quality_rules, rans, simhash_vptree, toxic_segments, warc
+from mercato.llm import (
+    collocations, crf_extract, decontaminate, hilbert_shards, license_digest, mixing, quality_rules, rans,
+    redirect_filter, simhash_vptree, spelling_variants, toxic_segments, warc,
+)
 from mercato.llm.common import read_table
 
 
@@ -56,10 +59,24 @@ def op10_hilbert_shards(spark, sf_dir):
     return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "cell")
 
 
+def op11_redirect_filter(spark, sf_dir):
+    return redirect_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
+def op12_reduced_alphabet(spark, sf_dir):
+    return spelling_variants.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_multikey_quicksort(spark, sf_dir):
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
 def llm_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def llm_oracle_sql():
     return {"op3_mixing": mixing.oracle_sql(),
-            "op9_license_digest": license_digest.ORACLE_SQL}
+            "op9_license_digest": license_digest.ORACLE_SQL,
+            "op11_redirect_filter": redirect_filter.ORACLE_SQL,
+            "op13_multikey_quicksort": collocations.ORACLE_SQL}
