@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime
 import sys
 from collections.abc import Callable
+from decimal import Decimal
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,8 @@ from mercato.sources import catalog, sinks  # noqa: E402
 from mercato.sources.bindings import (  # noqa: E402
     RUN_STEPS_AS_OF, TEST_AS_OF, load_base_tables, orders_from, read_raw, run_steps_from,
 )
-from mercato.streaming import refresh  # noqa: E402
+from mercato.streaming import lag, refresh, windowed  # noqa: E402
+from mercato.streaming.history import StreamHistory  # noqa: E402
 
 # The operators of a training-data pipeline come as a subpackage of their own
 # and may be absent; everything else works without them.
@@ -44,9 +46,7 @@ except ModuleNotFoundError as missing:
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 AS_OF = TEST_AS_OF
-# The test tables hold ~25 order lines per day over six years: in day units the
-# registered refreshes write thousands of tiny files and take minutes there.
-DEMO_UNIT = "month"
+UNIT = "day"
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -242,34 +242,65 @@ def q_snapshot_refresh(spark, sf_dir):
     return _report(catalog.refresh_snapshot(spark, "ext_orders_snapshot", second).drop("order_month"))
 
 
+def q_snapshot_diff(spark, sf_dir):
+    """What became of the orders between an older snapshot, some of whose orders were
+    pending, missing or since deleted, and a newer one."""
+    orders = _tables(spark, sf_dir)["orders"]
+    first, second = scratch_path(spark, "orders_snapshot"), scratch_path(spark, "orders_snapshot")
+    key = F.col("order_id")
+    orders.where(key % 7 != 0).withColumn(
+        "status", F.when(key % 11 == 0, F.lit("DRAFT")).otherwise(F.col("status"))).write.parquet(first)
+    orders.where(key % 13 != 0).write.parquet(second)
+    return catalog.diff_snapshots(spark.read.parquet(first), spark.read.parquet(second), "order_id")
+
+
 # ---------------------------------------------------------------- refresh / streaming
 def q_hourly_refresh_full(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return _report(refresh.refresh_full(t["orders"], t["products"],
-                                        scratch_path(spark, "hourly_full"), DEMO_UNIT))
+                                        scratch_path(spark, "hourly_full"), UNIT))
 
 
-FILES_PER_TRIGGER = 32
+# The feed: every line of the tables, in slices that arrive one after another.
+FEED_CUTS = ("1997-06-01 00:00:00", "1999-06-01 00:00:00")
+RESENT_EVERY = 50   # such orders come in an early form first and are sent again at the end
+LATE_EVERY = 40     # such orders come one slice later than they should
+DELAY_HOURS = 6
+FILES_PER_TRIGGER = None  # a batch takes all that has arrived
+PRICE_CHANGE = FEED_CUTS[0]
 
 
-def _landing(spark, sf_dir):
-    """Stage the bound orders as month-partitioned files: the arriving stream,
-    FILES_PER_TRIGGER to a micro-batch."""
-    t = _tables(spark, sf_dir)
-    landing = scratch_path(spark, "orders_landing")
-    catalog.stage_orders(t["orders"], landing)
-    return t, landing, FILES_PER_TRIGGER
+def _slice_of(c="order_date"):
+    """Number of the slice that a line's date falls into; undated lines come first."""
+    return sum(F.coalesce(F.col(c) >= F.to_timestamp_ntz(F.lit(at)), F.lit(False)).cast("int") for at in FEED_CUTS)
+
+
+def _arrive(lines, landing):
+    """New files of lines; AQE sizes them."""
+    lines.repartitionByRange("order_date", "order_id").write.mode("append").parquet(landing)
+
+
+def _feed_with_resent(orders):
+    """The slices as they arrive: orders divisible by RESENT_EVERY with one piece a line,
+    pending and a day late at first, then once more as they are."""
+    again = F.col("order_id") % RESENT_EVERY == 0
+    early = orders.withColumns({
+        "order_date": F.when(again, F.timestamp_add("DAY", F.lit(1), F.col("order_date"))).otherwise(F.col("order_date")),
+        "quantity": F.when(again, F.lit(1)).otherwise(F.col("quantity")),
+        "status": F.when(again, F.lit("PENDING")).otherwise(F.col("status")), "_slice": _slice_of()})
+    return [*[early.where(F.col("_slice") == k).drop("_slice") for k in range(len(FEED_CUTS) + 1)], orders.where(again)]
 
 
 def _run_incremental(spark, sf_dir):
-    t, landing, per_trigger = _landing(spark, sf_dir)
-    result = scratch_path(spark, "hourly_incremental")
-    history = scratch_path(spark, "refresh_history")
-    handler = refresh.IncrementalHourlyRefresh(
-        t["products"], scratch_path(spark, "orders_base"), result, history, DEMO_UNIT)
-    stream = refresh.order_stream(spark, landing, per_trigger)
-    query = handler.start(stream, scratch_path(spark, "stream_checkpoint"), available_now=True)
-    query.awaitTermination()
+    t = _tables(spark, sf_dir)
+    staged = scratch_path(spark, "orders_staged")
+    t["orders"].write.parquet(staged)  # joined once, read by every slice
+    landing, checkpoint = scratch_path(spark, "orders_landing"), scratch_path(spark, "stream_checkpoint")
+    result, history = scratch_path(spark, "hourly_incremental"), scratch_path(spark, "refresh_history")
+    handler = refresh.IncrementalHourlyRefresh(t["products"], result, result, history, UNIT)
+    for part in _feed_with_resent(spark.read.schema(refresh.ORDERS_SCHEMA).parquet(staged)):
+        _arrive(part, landing)
+        handler.start(refresh.order_stream(spark, landing, FILES_PER_TRIGGER), checkpoint, available_now=True).awaitTermination()
     return result, history
 
 
@@ -279,32 +310,94 @@ def q_hourly_refresh_incremental(spark, sf_dir):
 
 
 def q_refresh_history(spark, sf_dir):
+    """The history with its clock values as flags."""
     _, history = _run_incremental(spark, sf_dir)
-    return refresh.refresh_history(spark, history, 10)
+    return refresh.refresh_history(spark, history, 10).select(
+        "batch_id", "input_rows", "units_refreshed", "state",
+        (F.col("refresh_end_time") >= F.col("refresh_start_time")).alias("has_duration"))
 
 
-EXACT_STREAM_COLUMNS = [c for c in sales.HOURLY_COLUMNS if c not in ("total_orders", "unique_customers")]
+def q_hourly_refresh_when_due(spark, sf_dir):
+    """Three looks at the input: all but the last slice, nothing new, the last slice."""
+    t = _tables(spark, sf_dir)
+    orders, products, result = (scratch_path(spark, x) for x in ("due_orders", "due_products", "due_hourly"))
+    t["products"].write.parquet(products)
+    due = lag.LagDrivenRefresh(orders, products, result, unit=UNIT)
+    decisions = None
+    last = len(FEED_CUTS)
+    for look, part in enumerate((F.col("_slice") < last, None, F.col("_slice") == last)):
+        if part is not None:
+            _arrive(t["orders"].withColumn("_slice", _slice_of()).where(part).drop("_slice"), orders)
+        one = due.refresh_when_due(spark).select(
+            F.lit(look).alias("look"), "decision", "input_rows", "changed_files", "gone_files",
+            (F.col("lag_seconds") >= 0).alias("lag_measured"))
+        decisions = one if decisions is None else decisions.unionByName(one)
+    rows, units = refresh.read_hourly(spark, result).agg(F.count(F.lit(1)), F.sum("units_sold")).first()
+    return decisions.withColumns({"hourly_rows": F.lit(rows).cast("long"), "units_sold": F.lit(units).cast("long")})
+
+
+def _stream_hours(spark, sf_dir, versions_at):
+    """Run the routed feed through the windowed stream; ``versions_at(k)`` gives the product
+    versions known when slice k arrives (None: as before)."""
+    t = _tables(spark, sf_dir)
+    staged, landing, routed, out, versions = (scratch_path(spark, x) for x in (
+        "orders_staged", "orders_landing", "orders_routed", "hourly_windowed", "product_versions"))
+    checkpoints = [scratch_path(spark, "stream_checkpoint") for _ in range(2)]
+    t["orders"].write.parquet(staged)
+    orders = spark.read.schema(refresh.ORDERS_SCHEMA).parquet(staged)
+    late = F.coalesce((F.col("order_id") % LATE_EVERY == 0).cast("int"), F.lit(0))
+    orders = orders.withColumn("_slice", _slice_of() + late)
+    router = windowed.ArrivalRouter(versions, routed, DELAY_HOURS)
+    heard = StreamHistory()
+    spark.streams.addListener(heard)
+
+    def drain():
+        lines = windowed.exact_hourly_stream(windowed.line_stream(spark, router.on_time), f"{DELAY_HOURS} hours")
+        query = (lines.writeStream.outputMode("append").format("parquet").option("path", out)
+                 .option("checkpointLocation", checkpoints[1]).trigger(availableNow=True).start())
+        query.awaitTermination()
+        if not heard.finished(query) or heard.dropped():
+            raise RuntimeError("the stream dropped lines that its router had let through")
+
+    try:
+        for k in range(len(FEED_CUTS) + 2):
+            known = versions_at(k, t["products"])
+            if known is not None:
+                known.write.mode("overwrite").parquet(versions)
+            _arrive(orders.where(F.col("_slice") == k).drop("_slice"), landing)
+            (refresh.order_stream(spark, landing, FILES_PER_TRIGGER).writeStream.foreachBatch(router)
+             .option("checkpointLocation", checkpoints[0]).trigger(availableNow=True).start().awaitTermination())
+            drain()
+        end = spark.read.schema(refresh.ORDERS_SCHEMA).parquet(staged).agg(F.max("order_date")).first()[0]
+        windowed.close_hours(spark, router.on_time, end + datetime.timedelta(hours=DELAY_HOURS + 2))
+        drain()
+    finally:
+        spark.streams.removeListener(heard)
+    real = F.col("sales_hour") <= F.to_timestamp_ntz(F.lit(str(end)))
+    on_time = windowed.read_lines(spark, router.on_time).where(real)
+    return windowed.repaired(spark.read.parquet(out), on_time, windowed.read_lines(spark, router.late))
+
+
+def _first_versions(products):
+    return products.withColumns({"valid_from": F.lit(None).cast("timestamp_ntz"),
+                                 "valid_to": F.lit(None).cast("timestamp_ntz")})
 
 
 def q_hourly_stream_windowed(spark, sf_dir):
-    t, landing, per_trigger = _landing(spark, sf_dir)
-    # the files of a finished feed come in any order: the delay covers its span
-    span = spark.read.parquet(landing).agg(F.min("order_date").alias("a"), F.max("order_date").alias("b")).first()
-    days = (span.b - span.a).days + 2
-    end = span.b + datetime.timedelta(days=days + 1)
-    out, checkpoint = scratch_path(spark, "hourly_windowed"), scratch_path(spark, "stream_checkpoint")
-    # the feed is read to its end, then heartbeats close the last windows
-    for closing in (False, True):
-        if closing:
-            refresh.heartbeats(spark, f"{landing}/order_month={end:%Y-%m}", end)
-        windowed = refresh.windowed_hourly_stream(
-            refresh.order_stream(spark, landing, 1 if closing else per_trigger), t["products"], f"{days} days")
-        query = (windowed.writeStream.outputMode("append").format("parquet").option("path", out)
-                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-        query.awaitTermination()
-        if refresh.dropped_lines(query):
-            raise RuntimeError("the delay doesn't cover the feed: lines were dropped")
-    return _report(spark.read.parquet(out).select(*EXACT_STREAM_COLUMNS))
+    return _report(_stream_hours(spark, sf_dir, lambda k, products: _first_versions(products) if k == 0 else None))
+
+
+def q_hourly_stream_price_change(spark, sf_dir):
+    """Costs rise by a tenth at PRICE_CHANGE, which is known from the second slice on."""
+    def versions_at(k, products):
+        first = _first_versions(products)
+        if k != 1:
+            return first if k == 0 else None
+        at = F.to_timestamp_ntz(F.lit(PRICE_CHANGE))
+        dearer = F.round(F.col("cost_price") * F.lit(Decimal("1.1")), 2).cast("decimal(12,2)")
+        return (first.withColumn("valid_to", at)
+                .unionByName(first.withColumns({"valid_from": at, "cost_price": dearer})))
+    return _report(_stream_hours(spark, sf_dir, versions_at))
 
 
 # ---------------------------------------------------------------- pipeline / run log
@@ -319,7 +412,7 @@ def q_run_step_history(spark, sf_dir):
 
 def _run_rows(spark, sf_dir):
     """This run's rows of the log, clock values as null flags."""
-    run_id = pipeline.run_pipeline(spark, _tables(spark, sf_dir), AS_OF, unit=DEMO_UNIT)
+    run_id = pipeline.run_pipeline(spark, _tables(spark, sf_dir), AS_OF, unit=UNIT)
     return spark.table(pipeline.RUN_LOG).where(F.col("run_id") == run_id)
 
 
@@ -381,10 +474,13 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_report": q_dq_report,
         "external_table_scan": q_external_table_scan,
         "snapshot_refresh": q_snapshot_refresh,
+        "snapshot_diff": q_snapshot_diff,
         "hourly_refresh_full": q_hourly_refresh_full,
         "hourly_refresh_incremental": q_hourly_refresh_incremental,
         "refresh_history": q_refresh_history,
+        "hourly_refresh_when_due": q_hourly_refresh_when_due,
         "hourly_stream_windowed": q_hourly_stream_windowed,
+        "hourly_stream_price_change": q_hourly_stream_price_change,
         "output_row_counts": q_output_row_counts,
         "run_step_history": q_run_step_history,
         "run_log_append": q_run_log_append,

@@ -10,8 +10,8 @@ Scale notes
 * The per-customer aggregate uses partial aggregation; its one
   ``countDistinct`` is keyed on (customer_id, order_id) first, so a
   customer with a third of all lines is still split across tasks.
-* Global quintiles (``rfm_ntile``) use the range-partitioned ``ntile``
-  operator instead of a single-partition window.
+* Global quintiles (``rfm_ntile``) are told by their boundaries (``ntiles``) instead
+  of a single-partition window.
 
 Fixed values (score bands, tier limits and weights) of the source model:
   recency days: NULL -> 1, <= 7 -> 5, <= 30 -> 4, <= 60 -> 3, <= 90 -> 2, else 1
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from mercato.functions.money import ratio, round_to, sum_gross, sum_net
 from mercato.functions.timefn import as_of_col, calendar_days
-from mercato.operators.ntile import ntile, ntile_window
+from mercato.operators.buckets import ntiles
+from mercato.operators.ntile import ntile_window
 
 TIERS = ("Platinum", "Gold", "Silver", "Bronze")
 QUINTILE_TIERS = ("Champions", "Loyal", "Potential", "At Risk")
@@ -192,16 +193,16 @@ def rfm_ntile(orders: DataFrame, as_of=None, buckets: int = 5,
     Ties are broken by ``customer_id`` so the scores are deterministic.
     """
     metrics = rfm_metrics(orders, as_of)
-    tile = ntile if scalable else ntile_window
-    scored = tile(metrics, buckets,
-                  [F.col("recency_days").desc_nulls_last(), F.col("customer_id").asc()],
-                  "r_score")
-    scored = tile(scored, buckets,
-                  [F.col("frequency").asc_nulls_last(), F.col("customer_id").asc()],
-                  "f_score")
-    scored = tile(scored, buckets,
-                  [F.col("monetary").asc_nulls_last(), F.col("customer_id").asc()],
-                  "m_score")
+    if scalable:
+        first = F.lit(-(1 << 63))  # an order line without a customer sorts before all
+        scored = ntiles(metrics, buckets, {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"),
+                                           "m_score": F.col("monetary")}, F.coalesce("customer_id", first))
+    else:
+        scored = metrics
+        for key, score in ((F.col("recency_days").desc_nulls_last(), "r_score"),
+                           (F.col("frequency").asc_nulls_last(), "f_score"),
+                           (F.col("monetary").asc_nulls_last(), "m_score")):
+            scored = ntile_window(scored, buckets, [key, F.col("customer_id").asc()], score)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return scored.select(
         "customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score",

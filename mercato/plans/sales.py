@@ -17,9 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.money import (
-    avg_gross, avg_of, ratio, round_to, sum_cost, sum_discount, sum_gross, sum_net,
-)
+from mercato.functions.money import exact_sum, minor_units, ratio, round_to
 from mercato.functions.timefn import hour_floor
 
 STATUSES = ("COMPLETED", "PENDING", "PROCESSING", "SHIPPED")
@@ -32,8 +30,35 @@ HOURLY_COLUMNS = (
 )
 
 
-def status_count(status: str):
-    return F.count(F.when(F.col("status") == status, F.lit(1)))
+def line_measures() -> dict:
+    """Name -> (expression, type): what a joined line adds to its group, in whole minor
+    units, so that sums are exact."""
+    q, price = F.col("quantity").cast("long"), minor_units("unit_price")
+    gross, pct = q * price, minor_units("discount_pct")
+    return {
+        "m_units": (q, "long"), "m_gross": (gross, "long"), "m_net": (gross * (F.lit(10000) - pct), "long"),
+        "m_discount": (gross * pct, "long"), "m_cost": (q * minor_units("cost_price"), "long"),
+    } | {f"m_{x.lower()}": (F.when(F.col("status") == x, F.lit(1)), "long") for x in STATUSES}
+
+
+def hourly_metrics_of(lines: DataFrame, group: list[str], orders, customers, measured: bool = False) -> DataFrame:
+    """The metrics of joined lines per ``group``; ``orders`` and ``customers`` are the
+    aggregates of the distinct counts.  ``measured``: the lines carry their measures already."""
+    m = {c: F.col(c) if measured else e for c, (e, _) in line_measures().items()}
+    gross, net, cost = exact_sum(m["m_gross"], 2), exact_sum(m["m_net"], 6), exact_sum(m["m_cost"], 2)
+    return lines.groupBy(*group).agg(
+        orders.alias("total_orders"),
+        customers.alias("unique_customers"),
+        F.sum(m["m_units"]).alias("units_sold"),
+        gross.alias("gross_revenue"),
+        net.alias("net_revenue"),
+        exact_sum(m["m_discount"], 6).alias("total_discounts"),
+        ratio(gross, F.count(m["m_gross"])).alias("avg_order_value"),
+        ratio(F.sum(m["m_units"]), F.count(m["m_units"])).alias("avg_units_per_order"),
+        cost.alias("total_cost"),
+        (net - cost).alias("gross_profit"),
+        *[F.count(m[f"m_{x.lower()}"]).alias(f"{x.lower()}_orders") for x in STATUSES],
+    )
 
 
 def hourly_sales_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -46,28 +71,8 @@ def hourly_sales_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:
         hour_floor("order_date").alias("sales_hour"), "order_id", "customer_id",
         "product_id", "quantity", "unit_price", "discount_pct", "status")
     prods = products.select("product_id", "category", "subcategory", "cost_price")
-    net = sum_net()
-    cost = sum_cost()
-    return (
-        lines.join(prods, "product_id")
-        .groupBy("sales_hour", "category", "subcategory")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.countDistinct("customer_id").alias("unique_customers"),
-            F.sum("quantity").cast("long").alias("units_sold"),
-            sum_gross().alias("gross_revenue"),
-            net.alias("net_revenue"),
-            sum_discount().alias("total_discounts"),
-            avg_gross().alias("avg_order_value"),
-            avg_of("quantity").alias("avg_units_per_order"),
-            cost.alias("total_cost"),
-            (net - cost).alias("gross_profit"),
-            status_count("COMPLETED").alias("completed_orders"),
-            status_count("PENDING").alias("pending_orders"),
-            status_count("PROCESSING").alias("processing_orders"),
-            status_count("SHIPPED").alias("shipped_orders"),
-        )
-    )
+    return hourly_metrics_of(lines.join(prods, "product_id"), ["sales_hour", "category", "subcategory"],
+                             F.countDistinct("order_id"), F.countDistinct("customer_id"))
 
 
 def hourly_margin_top(hourly: DataFrame, n: int = 20) -> DataFrame:

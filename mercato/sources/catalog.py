@@ -32,16 +32,32 @@ def _path(location: str) -> str:
 
 def register_external_table(spark: SparkSession, name: str, location: str,
                             fmt: str = "parquet") -> DataFrame:
-    """(Re)create ``name`` as an external table over ``location``."""
+    """(Re)create ``name`` as an external table over ``location``.  Where the table
+    stands already with the same columns and no partitions, only its location moves, so the name
+    never goes missing."""
     name = _ident(name)
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    if spark.catalog.tableExists(name) and _same_columns(spark, name, location, fmt):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_path(location)}'")
+        spark.catalog.refreshTable(name)
+        return spark.table(name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING {_ident(fmt)} LOCATION '{_path(location)}'")
     _recover_partitions(spark, name)
     return spark.table(name)
 
 
+def _same_columns(spark: SparkSession, name: str, location: str, fmt: str) -> bool:
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        return False
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if detail.get("Provider", "").lower() != fmt.lower() or detail.get("Type") != "EXTERNAL":
+        return False
+    there = spark.read.format(fmt).load(location).schema
+    return [(f.name, f.dataType) for f in there] == [(f.name, f.dataType) for f in spark.table(name).schema]
+
+
 def _recover_partitions(spark: SparkSession, name: str) -> None:
     """Register partition folders found under a partitioned table's location."""
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
@@ -72,6 +88,43 @@ def refresh_snapshot(spark: SparkSession, name: str, new_location: str | None =
     return spark.table(name)
 
 
+def diff_snapshots(old: DataFrame, new: DataFrame, key: str, buckets: int = 4096) -> DataFrame:
+    """(key, change): keys ``inserted`` into, ``deleted`` from or ``changed`` between two
+    snapshots of a table; a key may have several rows, compared as a bag.
+
+    Digests come first: rows are hashed and added up per bucket of keys, before any
+    shuffle, so equal buckets cost one scan and no more.  Only the rows of buckets that differ are
+    grouped by key and compared.  Null keys form one key; the two must have the same columns.
+    """
+    if sorted(old.columns) != sorted(new.columns):
+        raise ValueError("the snapshots have different columns")
+    columns = sorted(old.columns)
+
+    def hashed(df: DataFrame) -> DataFrame:
+        # two hashes of a row: equal digests of unequal rows would need both to agree
+        return df.select(F.col(f"`{key}`").alias("key"), F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).alias("bucket"),
+                         F.xxhash64(*[F.col(f"`{c}`") for c in columns],
+                                    *[F.col(f"`{c}`").isNull() for c in columns]).alias("h"),
+                         F.xxhash64(F.lit("second"), *[F.col(f"`{c}`") for c in reversed(columns)],
+                                    *[F.col(f"`{c}`").isNull() for c in columns]).alias("g"))
+
+    def digest(df: DataFrame, by: str) -> DataFrame:
+        return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("s"),
+                                  F.bit_xor("g").alias("x"))
+
+    def apart(by: str):  # full outer join on a null-safe key
+        a, b = digest(rows_old, by).alias("a"), digest(rows_new, by).alias("b")
+        return (a.join(b, F.col(f"a.{by}").eqNullSafe(F.col(f"b.{by}")), "full")
+                .where(~(F.struct("a.n", "a.s", "a.x").eqNullSafe(F.struct("b.n", "b.s", "b.x")))))
+
+    rows_old, rows_new = hashed(old), hashed(new)
+    differing = apart("bucket").select(F.coalesce("a.bucket", "b.bucket").alias("bucket"))  # ``buckets`` rows at most
+    rows_old, rows_new = (r.join(F.broadcast(differing), "bucket", "left_semi") for r in (rows_old, rows_new))
+    return apart("key").select(
+        F.coalesce("a.key", "b.key").alias(key),
+        F.when(F.col("a.n").isNull(), "inserted").when(F.col("b.n").isNull(), "deleted").otherwise("changed").alias("change"))
+
+
 def describe_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, col_name, data_type) for each DataFrame's schema.
 

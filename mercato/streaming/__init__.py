@@ -1,5 +1,5 @@
-"""Keeping hourly sales metrics fresh: full, incremental and windowed."""
+"""Refreshing the hourly metrics: full, by differences, as a windowed stream, on demand."""
 
 from mercato.streaming.refresh import (  # noqa: F401
-    ORDERS_SCHEMA, refresh_full, IncrementalHourlyRefresh, windowed_hourly_stream,
+    ORDERS_SCHEMA, IncrementalHourlyRefresh, order_stream, read_hourly, refresh_full,
 )

@@ -1,270 +1,43 @@
 """Refreshing the hourly sales metrics table.
 
 * ``refresh_full`` (T1): recompute everything, replace the table.
-* ``IncrementalHourlyRefresh`` (T2): a Structured Streaming query over
-  arriving order files.  Exact distinct counts and averages do not merge,
-  so each micro-batch (``foreachBatch``)
-    1. appends its lines to a base store partitioned by (unit, batch id),
-       the unit being a day (default) or a month; lines without a date have a
-       unit of their own.  Dynamic partition overwrite makes a replayed batch
-       replace its own files, so at-least-once delivery is harmless;
-    2. marks orders that it sends again: an order's lines arrive together, and
-       its newest batch replaces its older lines, also those of another unit,
-       where a marker without a product takes their place;
-    3. recomputes every hour of the touched units from the base store, listing
-       only those unit folders;
-    4. overwrites just those unit partitions of the result.
-  ``products_changed`` does 3 and 4 for the units that hold changed products.
-  After every batch the result equals the full recompute over the newest
-  version of every order seen so far.
-* ``windowed_hourly_stream`` (T3/T4): the pure streaming form, tumbling
-  one-hour windows with a watermark joined to static products.  ``delay`` must
-  cover the disorder of the feed: a line later than the watermark is dropped,
-  and ``dropped_lines`` says how many were.  ``heartbeat`` rows at the end of a
-  finite feed close the windows that are still open.  Distinct counts are
-  HyperLogLog estimates (exact distinct is not supported on streams).
+* ``IncrementalHourlyRefresh`` (T2, ``deltas``): a Structured Streaming query over
+  arriving order files that applies each batch as differences.
+* ``windowed`` (T3, T4): the pure streaming form, with a watermark, a side table for late
+  lines and product versions.
+* ``refresh_when_due`` (``lag``): look at the input's files and do nothing, an
+  incremental or a full refresh.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DecimalType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
-)
-
-from mercato.functions.money import avg_gross, avg_of, sum_cost, sum_discount, sum_gross, sum_net
-from mercato.plans.sales import HOURLY_COLUMNS, STATUSES, hourly_sales_metrics, status_count
-
-ORDERS_SCHEMA = StructType([
-    StructField("order_id", LongType()),
-    StructField("customer_id", LongType()),
-    StructField("product_id", LongType()),
-    StructField("quantity", IntegerType()),
-    StructField("unit_price", DecimalType(12, 2)),
-    StructField("discount_pct", DecimalType(5, 2)),
-    StructField("order_date", TimestampNTZType()),
-    StructField("status", StringType()),
-])
-
-BASE_SCHEMA = StructType([*ORDERS_SCHEMA.fields, StructField("order_unit", StringType()),
-                          StructField("batch_id", LongType())])
-
-HISTORY_SCHEMA = ("batch_id long, refresh_start_time timestamp, refresh_end_time timestamp, "
-                  "input_rows long, units_refreshed long, state string")
-
 
-# Partition unit of the base store and of the result table.  "day" suits
-# production volumes (one day of lines is many files' worth); "month" keeps
-# files from getting tiny when a table holds only a few rows per day.
-UNITS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+from mercato.plans.sales import HOURLY_COLUMNS, hourly_sales_metrics
+from mercato.streaming import deltas
+from mercato.streaming.deltas import IncrementalHourlyRefresh
+from mercato.streaming.history import HISTORY_SCHEMA, refresh_history
+from mercato.streaming.lines import ORDERS_SCHEMA, UNDATED, UNITS, order_stream, unit_of
 
 
-UNDATED = "undated"  # unit of the lines without a date
-
-
-def _unit(c, unit: str):
-    return F.coalesce(F.date_format(c, UNITS[unit]), F.lit(UNDATED))
-
-
-def _write_units(hourly: DataFrame, location: str, mode: str, unit: str) -> None:
+def refresh_full(orders: DataFrame, products: DataFrame, location: str,
+                 unit: str = "day") -> DataFrame:
+    """Recompute all hourly metrics and replace the stored table."""
     # Range partitions on the hour let AQE size the writers, and a unit with a
     # large catalog is written by several.
-    (hourly.withColumn("sales_unit", _unit("sales_hour", unit))
+    (hourly_sales_metrics(orders, products).withColumn("sales_unit", unit_of("sales_hour", unit))
      .repartitionByRange("sales_hour", "category", "subcategory")
-     .write.mode("overwrite").option("partitionOverwriteMode", mode)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy("sales_unit").parquet(location))
-
-
-def refresh_full(orders: DataFrame, products: DataFrame, location: str,
-                 unit: str = "day") -> DataFrame:
-    """Recompute all hourly metrics and replace the stored table."""
-    _write_units(hourly_sales_metrics(orders, products), location, "static", unit)
     return read_hourly(orders.sparkSession, location)
 
 
 def read_hourly(spark: SparkSession, location: str) -> DataFrame:
+    """The stored metrics, from a full refresh or from an incremental one."""
+    if deltas.is_delta_table(spark, location):
+        return deltas.read_metrics(spark, location)
     return spark.read.parquet(location).select(*HOURLY_COLUMNS)
 
 
-class IncrementalHourlyRefresh:
-    """foreachBatch handler that keeps ``result`` equal to a full recompute.
-
-    The recompute unit (a day by default) is also the partition unit of the
-    base store and of the result, so a replayed batch recomputes whole units
-    from the base store, the single source of truth.
-    """
-
-    def __init__(self, products: DataFrame, base: str, result: str,
-                 history: str | None = None, unit: str = "day"):
-        if unit not in UNITS:
-            raise ValueError(f"unit must be one of {sorted(UNITS)}")
-        self.products = products
-        self.base = base
-        self.result = result
-        self.history = history
-        self.unit = unit
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        started = _dt.datetime.now(_dt.timezone.utc)
-        lines = batch.withColumn("order_unit", _unit("order_date", self.unit)).persist()
-        try:
-            moved = self._moved(spark, lines, batch_id)
-            # 1. idempotent append of this batch; range-partitioned on time so
-            #    writers get contiguous, equal slices (few files per unit);
-            #    AQE sizes the slices from the batch volume
-            (lines.unionByName(moved, allowMissingColumns=True)
-             .withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .repartitionByRange("order_unit", "order_date", "order_id")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("order_unit", "batch_id").parquet(self.base))
-            # 2. touched units: at most one value per calendar unit
-            n = lines.count()
-            units = sorted(r[0] for r in lines.select("order_unit").union(
-                moved.select("order_unit")).distinct().collect())
-            self._recompute(spark, units, [r[0] for r in moved.select("order_unit").distinct().collect()])
-            if self.history:
-                # one folder per batch id: a replayed batch replaces its row
-                ended = _dt.datetime.now(_dt.timezone.utc)
-                spark.createDataFrame(
-                    [(batch_id, started, ended, n, len(units), "SUCCEEDED")],
-                    HISTORY_SCHEMA,
-                ).coalesce(1).write.mode("overwrite").parquet(
-                    f"{self.history}/batch={batch_id}")
-        finally:
-            lines.unpersist()
-
-    def _stored(self, spark: SparkSession) -> DataFrame | None:
-        """The base store, or None before the first batch."""
-        try:
-            return spark.read.schema(BASE_SCHEMA).parquet(self.base)
-        except AnalysisException:
-            return None
-
-    def _moved(self, spark: SparkSession, lines: DataFrame, batch_id: int) -> DataFrame:
-        """Markers (order_id, order_unit) for orders of this batch whose older lines
-        lie in a unit in which the batch has none of theirs.  Reads order ids only."""
-        stored = self._stored(spark)
-        if stored is None:
-            return spark.createDataFrame([], "order_id long, order_unit string")
-        older = (stored.where(F.col("batch_id") != batch_id).select("order_id", "order_unit")
-                 .join(lines.select("order_id").distinct(), "order_id", "left_semi").distinct())
-        return older.join(lines.select("order_id", "order_unit").distinct(),
-                          ["order_id", "order_unit"], "left_anti")
-
-    def _recompute(self, spark: SparkSession, units: list[str], emptied: list[str]) -> None:
-        """3. and 4.: the newest lines of the units' orders, then their hours."""
-        if not units:
-            return
-        folders = [f"{self.base}/order_unit={u}" for u in units]
-        seen = spark.read.schema(BASE_SCHEMA).option("basePath", self.base).parquet(*folders)
-        newest = seen.groupBy("order_unit", "order_id").agg(F.max("batch_id").alias("newest"))
-        lines = (seen.join(newest, ["order_unit", "order_id"])
-                 .where((F.col("batch_id") == F.col("newest")) & F.col("product_id").isNotNull())
-                 .select(*ORDERS_SCHEMA.fieldNames()))
-        unnamed = (seen.where(F.col("order_id").isNull() & F.col("product_id").isNotNull())
-                   .select(*ORDERS_SCHEMA.fieldNames()))
-        hourly = hourly_sales_metrics(lines.unionByName(unnamed), self.products)
-        # units that may be left without lines keep no stale hours
-        for u in emptied:
-            _drop_unit(spark, f"{self.result}/sales_unit={u}")
-        _write_units(hourly, self.result, "dynamic", self.unit)
-
-    def products_changed(self, spark: SparkSession, products: DataFrame) -> None:
-        """Take new ``products`` and refresh the units whose lines they concern."""
-        columns = ["product_id", "category", "subcategory", "cost_price"]
-        old, new = self.products.select(*columns), products.select(*columns)
-        changed = old.exceptAll(new).unionByName(new.exceptAll(old)).select("product_id").distinct()
-        stored = self._stored(spark)
-        self.products = products
-        if stored is not None:
-            units = stored.join(changed, "product_id", "left_semi").select("order_unit").distinct().collect()
-            found = sorted(r[0] for r in units)
-            self._recompute(spark, found, found)
-
-    def start(self, source: DataFrame, checkpoint: str, available_now: bool = False,
-              interval: str = "5 minutes"):
-        writer = source.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
-        writer = (writer.trigger(availableNow=True) if available_now
-                  else writer.trigger(processingTime=interval))
-        return writer.start()
-
-
-def order_stream(spark: SparkSession, location: str, files_per_trigger: int = 1) -> DataFrame:
-    """Order-line files arriving in ``location`` as a stream."""
-    return (spark.readStream.schema(ORDERS_SCHEMA)
-            .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(location))
-
-
-def refresh_history(spark: SparkSession, history: str, n: int = 10) -> DataFrame:
-    return (spark.read.parquet(history).select(*[c.split()[0] for c in HISTORY_SCHEMA.split(", ")])
-            .orderBy(F.col("refresh_start_time").desc(), F.col("batch_id").desc())
-            .limit(n))
-
-
-def windowed_hourly_stream(stream: DataFrame, products: DataFrame, delay: str) -> DataFrame:
-    """Tumbling 1-hour windows per (category, subcategory) with a watermark.
-
-    ``delay`` is how far a line may lie behind the newest one seen; the state
-    holds the windows of that span.  Hours are read as UTC, so no session zone
-    shifts them.
-    """
-    prods = products.select("product_id", "category", "subcategory", "cost_price")
-    lines = (stream.withColumn("event_time", F.timestamp_micros(_micros("order_date")))
-             .withWatermark("event_time", delay)  # before the join: heartbeats count
-             .join(prods, "product_id"))
-    net = sum_net()
-    cost = sum_cost()
-    return (
-        lines.groupBy(F.window("event_time", "1 hour"), "category", "subcategory")
-        .agg(
-            F.approx_count_distinct("order_id").alias("total_orders"),
-            F.approx_count_distinct("customer_id").alias("unique_customers"),
-            F.sum("quantity").cast("long").alias("units_sold"),
-            sum_gross().alias("gross_revenue"),
-            net.alias("net_revenue"),
-            sum_discount().alias("total_discounts"),
-            avg_gross().alias("avg_order_value"),
-            avg_of("quantity").alias("avg_units_per_order"),
-            cost.alias("total_cost"),
-            (net - cost).alias("gross_profit"),
-            *[status_count(x).alias(f"{x.lower()}_orders") for x in STATUSES],
-        )
-        .select((F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-                 + F.make_dt_interval(secs=(_micros_of_window() / 1_000_000))).alias("sales_hour"),
-                *HOURLY_COLUMNS[1:])
-    )
-
-
-def _micros(c: str):
-    """Microseconds since 1970 of a zone-free time."""
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})")
-
-
-def _micros_of_window():
-    return F.unix_micros(F.col("window.start")).cast("decimal(20,0)")
-
-
-def heartbeats(spark: SparkSession, location: str, at: _dt.datetime, n: int = 2) -> None:
-    """Add ``n`` files with one row, dated ``at``, to a finite feed: they move the
-    watermark on.  Their product is no product's id (a null would be filtered out
-    before the watermark sees the row), so they join nothing."""
-    for k in range(n):
-        spark.createDataFrame([(None, None, -1, None, None, None, at + _dt.timedelta(seconds=k), None)],
-                              ORDERS_SCHEMA).coalesce(1).write.mode("append").parquet(location)
-
-
-def dropped_lines(query) -> int:
-    """Lines that a finished windowed query dropped as later than its watermark."""
-    return sum(op.get("numRowsDroppedByWatermark", 0)
-               for p in query.recentProgress for op in p["stateOperators"])
-
-
-def _drop_unit(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+__all__ = ["HISTORY_SCHEMA", "ORDERS_SCHEMA", "UNDATED", "UNITS", "IncrementalHourlyRefresh", "order_stream",
+           "read_hourly", "refresh_full", "refresh_history", "unit_of"]
