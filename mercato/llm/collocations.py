@@ -14,8 +14,9 @@ abandoned unsorted, since no phrase in it can be frequent.
    ``1 / share`` of all words, so few words are) could outgrow a bucket; they are
    dealt by all three words instead and their two-word counts added up afterwards.
    The number of buckets follows the number of words (``BUCKET_WORDS``).
-3. **Sorting.**  Each bucket is sorted on its own, all its active partitions one
-   step at a time with numpy, and emits phrases and counts.  Only frequent phrases, and the
+3. **Sorting.**  Each bucket is sorted on its own: prefixes that a hashed count
+   shows to be rare are abandoned at once, the others sorted, all active partitions
+   one step at a time with numpy.  A bucket emits phrases and counts: only frequent phrases, and the
    partial two-word counts of hot words, leave it.
 4. **Scores.**  Joins of the frequent phrases with their parts; decimal arithmetic,
    which is exact for counts up to 10 ** 15.
@@ -51,29 +52,30 @@ MOST_SHARES = 1 << 16  # hot words are at most so many
 COVER_PERCENT = 50     # a longer phrase with this share of the count drops the shorter
 UNDEFINED = "und"
 
-_BREAK, _SPACE = 2, 1
-_KIND = np.zeros(256, np.uint8)
-_KIND[[9, 32]] = _SPACE
-_KIND[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = _BREAK
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_BREAKS = b".,;:!?\n\x0b\x0c\r"
+# A-Z lower-cased, white space and breaks as the bytes 0x20 and 0x0A
+_PLAIN = bytes(10 if c in _BREAKS else 32 if c in b"\t " else c + 32 if 65 <= c <= 90 else c for c in range(256))
+CELLS = 1 << 22  # cells of the table that abandons rare prefixes before the sort
 
 
 # ------------------------------------------------------------------ words of a chunk
-def cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def cut(texts: list[bytes], pieces: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray | None]:
     """(distinct words, word number per position, piece number per position) of
     UTF-8 texts; A-Z lower-cased, texts and pieces never joined."""
-    raw = np.frombuffer(b"\n".join(texts), np.uint8)
-    kind = _KIND[raw]
-    inside = kind == 0
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    raw = np.frombuffer(b"\n".join(texts).translate(_PLAIN), np.uint8)
+    broken = raw == 10
+    inside = (raw != 32) & ~broken
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1 if len(raw) else np.zeros(0, np.int64)
+    if len(raw) and inside[0]:
+        edge = np.concatenate([[0], edge])
+    if len(raw) and inside[-1]:
+        edge = np.concatenate([edge, [len(raw)]])
     starts, ends = edge[::2], edge[1::2]
     offsets = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=offsets[1:])
-    letters = _LOWER[raw[inside]]
     words = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
-    piece = np.searchsorted(np.flatnonzero(kind == _BREAK), starts)
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]).dictionary_encode()
+    piece = np.cumsum(broken, dtype=np.int64)[starts] if pieces else None
     return words.dictionary, words.indices.to_numpy().astype(np.int64), piece
 
 
@@ -124,7 +126,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, word, n) over all of ``texts`` (lang, text)."""
     def run(batches):
         for lang, part in _chunks(batches):
-            words, ids, _ = cut(part)
+            words, ids, _ = cut(part, pieces=False)
             n = np.bincount(ids, minlength=len(words))
             for k in range(0, len(words), 50_000):
                 w = words.slice(k, 50_000)
@@ -190,40 +192,60 @@ def multikey_quicksort(keys: np.ndarray, weight: np.ndarray, least: tuple[int, .
     longer reach the least of any depth still ahead.
     """
     deepest = len(keys)
-    ahead = np.array([min(least[d:]) for d in range(deepest)], np.int64)
-    pointer = np.arange(keys.shape[1])
-    begin = np.zeros(1 if len(pointer) else 0, np.int64)
-    size = np.full(len(begin), len(pointer), np.int64)
-    depth = np.zeros(len(begin), np.int64)
+    ahead = [min(least[d:]) for d in range(deepest)] + [np.iinfo(np.int64).max]
     found = []
-    while len(begin):
-        part = np.repeat(np.arange(len(begin)), size)
-        key = keys[depth[part], pointer]
-        # median of three as pivot
-        three = np.sort(np.stack([key[begin], key[begin + size // 2], key[begin + size - 1]]), axis=0)
-        pivot = three[1][part]
-        side = (key >= pivot).astype(np.int64) + (key > pivot)
-        group = 3 * part + side
-        sizes = np.bincount(group, minlength=3 * len(begin))
-        weights = np.bincount(group, weights=weight[pointer], minlength=3 * len(begin)).astype(np.int64)
-        depths = np.repeat(depth, 3)
-        depths[1::3] += 1
-        stands = np.empty(3 * len(begin), np.int64)  # any pointer stands for its partition
-        stands[group] = pointer
-        for d in range(1, deepest + 1):
-            good = 1 + 3 * np.flatnonzero((depths[1::3] == d) & (weights[1::3] >= least[d - 1]) & (sizes[1::3] > 0))
-            if len(good):
-                found.append((d, stands[good], weights[good]))
-        live = (sizes > 0) & (depths < deepest)
-        live &= weights >= ahead[np.minimum(depths, deepest - 1)]
-        keep = live[group]
-        order = np.argsort(group[keep], kind="stable")
-        pointer = pointer[keep][order]
-        size, depth = sizes[live], depths[live]
-        begin = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64) if len(size) else size
+    # per depth: pointers, weights and keys of its active partitions, and where these begin
+    active = {0: (np.arange(keys.shape[1]), weight, keys[0], np.zeros(1 if keys.shape[1] else 0, np.int64))}
+    while active:
+        depth = min(active)
+        pointer, heavy, key, begin = active.pop(depth)
+        deeper = []
+        while len(begin):
+            size = np.diff(np.append(begin, len(key)))
+            three = np.sort(np.stack([key[begin], key[begin + size // 2], key[begin + size - 1]]), axis=0)
+            pivot = np.repeat(three[1], size)
+            less, equal = key < pivot, key == pivot
+            rest = []
+            for side in (less, equal, ~(less | equal)):
+                n = np.add.reduceat(side, begin, dtype=np.int64)
+                total = np.add.reduceat(np.where(side, heavy, 0), begin)
+                is_equal = side is equal
+                if is_equal:
+                    good = total >= least[depth]
+                    if good.any():  # the first pointer stands for its partition
+                        first = pointer[side][np.concatenate([[0], np.cumsum(n)[:-1]])[good]]
+                        found.append((depth + 1, first, total[good]))
+                live = (n > 0) & (total >= ahead[depth + is_equal])
+                if not live.any():
+                    continue
+                keep = side & np.repeat(live, size)
+                n = n[live]
+                p = pointer[keep]
+                part = (p, heavy[keep], keys[depth + 1][p] if is_equal else key[keep], n)
+                (deeper if is_equal else rest).append(part)
+            pointer, heavy, key, begin = _laid_out(rest)
+        if deeper:
+            active[depth + 1] = _laid_out(deeper)
     return found
 
 
+def _laid_out(parts: list) -> tuple:
+    """Parts one after another; of their sizes, where each partition begins."""
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    pointer, heavy, key, n = (np.concatenate(x) for x in zip(*parts))
+    return pointer, heavy, key, np.concatenate([[0], np.cumsum(n)[:-1]])
+
+
+def not_surely_rare(keys: np.ndarray, weight: np.ndarray, least: int) -> np.ndarray:
+    """Which columns may have a two-word prefix of weight ``least``: prefixes are added up
+    by a hash, and a cell below that holds no such prefix, so all in it is abandoned."""
+    cell = ((keys[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + keys[1].astype(np.uint64))
+            * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(42)).astype(np.int64) % CELLS
+    return (np.bincount(cell, weights=weight, minlength=CELLS) >= least)[cell]
+
+
 def _phrases(blocks: list[tuple[bytes, bytes]], lang: str, hot: set[bytes], least: int) -> Iterator[pa.RecordBatch]:
     """Frequent phrases of one bucket and language; whole: the count is final."""
     number: dict[bytes, int] = {}
@@ -240,6 +262,8 @@ def _phrases(blocks: list[tuple[bytes, bytes]], lang: str, hot: set[bytes], leas
     spread = is_hot[rows[0]] & is_hot[rows[1]]
     for hot_ones, minima in ((False, (least, least, least)), (True, (1, 1, least))):
         mine = rows[:, spread == hot_ones]
+        if not hot_ones:
+            mine = mine[:, not_surely_rare(mine[:2], mine[DEPTH], least)]
         for depth, at, n in multikey_quicksort(mine[:DEPTH], mine[DEPTH], minima):
             phrase = mine[:depth, at]
             if depth == 1 or not len(at):
