@@ -16,17 +16,17 @@ file system that Spark writes will do.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import map_rows, materialise
+from mercato.llm.common import gathered, map_rows, materialise
 from mercato.session import scratch_path
 
 SCALE = 20  # frequencies sum to 2 ** SCALE; must exceed the vocabulary
@@ -35,69 +35,149 @@ BLOCK_IDS = 1 << 18  # a block closes once it holds so many ids
 LANES = 1024
 SEGMENT_STEPS = 128  # steps (of one id per lane) between checkpoints
 END_ID = 0
-CACHE = 1_000_000  # pieces of text whose ids a worker remembers
+CHUNK_BYTES = 8 << 20  # text cut into pieces at once; a longer text is a chunk of its own
+KNOWN_BYTES = 96 << 20  # ids of pieces remembered, twice (ENTRY: what a dictionary takes for each)
+ENTRY = 200
+GATHER_ROWS = 4096  # rows encoded at once; their texts are cut into chunks
+SHORT = 64  # bytes of the longest piece that is remembered
 
 
 # ------------------------------------------------------------------ tokenizing
 class PieceTokenizer:
-    """A byte-level BPE tokenizer that remembers the ids of pieces of text.
-
-    The pre-tokenizer never joins text across a single space between two
-    non-space characters, so a text is cut there and each new piece is encoded
-    by the library once.  New pieces are encoded side by side in one text: a
-    piece begins with its only space, so its ids begin at the id that holds one.
-    Texts with other spacing or a special token's opening are encoded whole.
+    """A byte-level BPE tokenizer that encodes each distinct piece of many texts once.
+
+    The pre-tokenizer never joins text across a single space between two non-white
+    characters, nor a letter with a mark after it (an apostrophe apart), nor a single line break
+    with a letter after it, so texts are cut there, wherever else they hold odd spacing.  The pieces
+    of a chunk are numbered with Arrow, new ones encoded by the library, and the ids of all
+    laid out with numpy.  New pieces are encoded side by side in one text: a piece that begins with
+    its only space has its ids from the id that holds one, and words of letters alone are
+    parted by line breaks.  Texts with a special token's opening are encoded whole.
+
+    Ids of short pieces are remembered from chunk to chunk in two generations of
+    KNOWN_BYTES each: when the young one is full, the old one goes.  Pieces of more than
+    SHORT bytes are never remembered, so memory is bounded whatever the texts.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.held = 0
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        breaks = self._ids("\n")
+        self.line_break = breaks[0] if len(breaks) == 1 else -1  # -1: every word alone
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32."""
-        cut = [self._pieces(t) for t in texts]
-        new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > CACHE:
-            self.known = {}
-            new = set().union(*cut)
-        beside = [p for p in new if p[0] == " " and " " not in p[1:] and "<|" not in p and len(p) > 1]
-        for i in range(0, len(beside), 2000):
-            part = beside[i:i + 2000]
-            ids = self._ids("".join(part))
+        out: list[bytes] = [b""] * len(texts)
+        plain, raw, size = [], [], 0
+        for i, text in enumerate(texts):
+            if "<|" in text:
+                out[i] = self._ids(text).tobytes()
+                continue
+            plain.append(i)
+            raw.append(text.encode())
+            size += len(raw[-1])
+            if size >= CHUNK_BYTES:
+                self._chunk(plain, raw, out)
+                plain, raw, size = [], [], 0
+        self._chunk(plain, raw, out)
+        return out
+
+    def _chunk(self, places: list[int], raw: list[bytes], out: list[bytes]) -> None:
+        ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
+        if not len(ends) or not ends[-1]:
+            return
+        whole = np.frombuffer(b"".join(raw), np.uint8)
+        starts = np.concatenate([[0], ends[:-1]])
+        cut = np.zeros(len(whole), bool)
+        cut[starts[starts < ends]] = cut[_safe_spaces(whole, ends)] = True
+        cut[1:] |= _LETTER[whole[:-1]] & _MARK[whole[1:]]
+        cut[2:] |= _INK[whole[:-2]] & (whole[1:-1] == 10) & _LETTER[whole[2:]]
+        cuts = np.flatnonzero(cut)
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(cuts),
+            [None, pa.py_buffer(np.append(cuts, len(whole))), pa.py_buffer(whole)]).dictionary_encode()
+        ids = self._ids_of(pieces.dictionary.to_pylist())
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        which = pieces.indices.to_numpy()
+        first = np.concatenate([[0], np.cumsum(length)[:-1]])
+        n = length[which]
+        after = np.cumsum(n)
+        every = flat[np.arange(after[-1]) + np.repeat(first[which] - (after - n), n)]
+        # a text's ids end where its last piece's do
+        last = np.searchsorted(cuts, ends)
+        at = np.concatenate([[0], after])[last]
+        for i, a, b in zip(places, [0, *at[:-1].tolist()], at.tolist()):
+            out[i] = every[a:b].tobytes()
+
+    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        got = [self.young.get(p) or self.old.get(p) for p in pieces]
+        new = [i for i, ids in enumerate(got) if ids is None]
+        spaced = [i for i in new if len(pieces[i]) > 1 and pieces[i][0] == 32 and b" " not in pieces[i][1:]]
+        lettered = [i for i in new if pieces[i].isalpha()]  # of bytes: ASCII letters
+        alone = set(new).difference(spaced, lettered)
+        for k in range(0, len(spaced), 2000):
+            part = spaced[k:k + 2000]
+            ids = self._ids(b"".join(pieces[i] for i in part).decode())
             at = np.flatnonzero(self.opens[ids])
             if len(at) != len(part) or at[0]:
-                self._one_by_one(part)
+                alone.update(part)
                 continue
-            raw, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
-            for piece, a, b in zip(part, (4 * at).tolist(), ends):
-                self.known[piece] = raw[a:b]
-        self._one_by_one(new.difference(beside))
-        find = self.known.__getitem__
-        return [b"".join(map(find, pieces)) for pieces in cut]
+            data, bounds = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+            for i, a, b in zip(part, bounds, bounds[1:]):
+                got[i] = data[a:b]
+        for k in range(0, len(lettered), 2000):
+            part = lettered[k:k + 2000]
+            ids = self._ids(b"\n".join(pieces[i] for i in part).decode())
+            at = np.flatnonzero(ids == self.line_break)
+            if len(at) != len(part) - 1:
+                alone.update(part)
+                continue
+            data = ids.tobytes()
+            for i, a, b in zip(part, [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), 4 * len(ids)]):
+                got[i] = data[a:b]
+        for i in alone:
+            got[i] = self._ids(pieces[i].decode()).tobytes()
+        for i in new:
+            if len(pieces[i]) <= SHORT:
+                self.young[pieces[i]] = got[i]
+                self.held += len(pieces[i]) + len(got[i]) + ENTRY
+        if self.held > KNOWN_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        return got
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _one_by_one(self, pieces) -> None:
-        for piece in pieces:
-            self.known[piece] = self._ids(piece).tobytes()
 
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        if not text:
-            return []
-        if text[0] == " " or "<|" in text or "\0" in text or _ODD_SPACE.search(text):
-            return [text]
-        return text.replace(" ", "\0 ").split("\0")
+def _safe_spaces(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places of single spaces between two characters that surely aren't white space.
+    Beyond ASCII, characters that share a lead byte with one that is count as such:
+    a space beside them is no place to cut, which costs nothing but a longer piece."""
+    at = np.flatnonzero(raw[1:-1] == 32) + 1
+    at = at[~np.isin(at + 1, ends)]  # not the last of its text
+    before, after = raw[at - 1], raw[at + 1]
+    lead = np.where(raw[at - 2] == 0xC2, True, (raw[at - 3] >= 0xE1) & (raw[at - 3] <= 0xE3))  # U+0085 .. U+3000
+    ok = _INK[before] | ((before >= 0x80) & ~lead & (at >= 3))
+    ok &= _INK[after] | ((after >= 0xC3) & ~((after >= 0xE1) & (after <= 0xE3)))
+    return at[ok]
+
+
+_INK = np.zeros(256, bool)  # ASCII that is neither white space nor control
+_INK[33:127] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = _INK & ~_LETTER
+_MARK[[*range(48, 58), ord("'")]] = False
 
 
-# a space beside another white-space character or at the end
-_ODD_SPACE = re.compile(r" (?:(?<=\s )|\s|\Z)")
 def tokenizer(path: str) -> PieceTokenizer:
     """One per worker process, which keeps what it knows from task to task; it
     hangs on the library's module, as this one travels anew with every task."""
@@ -202,17 +282,21 @@ def decode_block(block: dict, table: Table) -> np.ndarray:
 # ------------------------------------------------------------------ on Spark
 def tokenize(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """(doc_id, n long, ids binary) per row: the ids with the end id, as zstd
-    over little-endian uint16 or uint32 (first byte: the width)."""
+    """(doc_id, n long, ids binary, counts binary) per row: the ids with the end id, as
+    zstd over little-endian uint16 or uint32 (first byte: the width).  Every so many rows
+    ``counts`` holds how often each id came since the last (ids, then counts, uint64)."""
     def run(batches):
         t = tokenizer(vocabulary)
-        for b in batches:
+        for b in gathered(batches, GATHER_ROWS):
             raw = t.encode([x or "" for x in b["text"]])
             ids = [np.append(np.frombuffer(r, "<u4"), np.uint32(END_ID)) for r in raw]
-            yield {"doc_id": b["doc_id"], "n": [len(x) for x in ids], "ids": [_pack(x) for x in ids]}
+            total = np.bincount(np.concatenate(ids))
+            seen = np.flatnonzero(total)
+            counts = [None] * (len(ids) - 1) + [zstandard.compress(np.stack([seen, total[seen]]).astype("<u8").tobytes(), 1)]
+            yield {"doc_id": b["doc_id"], "n": [len(x) for x in ids], "ids": [_pack(x) for x in ids], "counts": counts}
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                          F.col(f"`{text_col}`").alias("text"))
-    return map_rows(narrow, run, "doc_id long, n long, ids binary")
+    return map_rows(narrow, run, "doc_id long, n long, ids binary, counts binary")
 
 
 def _pack(ids: np.ndarray) -> bytes:
@@ -226,21 +310,21 @@ def _unpack(data: bytes) -> np.ndarray:
 
 def frequencies(tokens: DataFrame) -> DataFrame:
     """(id, freq) of all ids of all documents; at most one row per vocabulary
-    entry, counted per task before the shuffle."""
+    entry, counted as they were encoded and added up per task before the shuffle."""
     spark = tokens.sparkSession
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for data in b["ids"]:
-                ids = _unpack(data)
-                c = np.bincount(ids, minlength=len(total))
-                c[:len(total)] += total
-                total = c
+            for data in b["counts"]:
+                seen, n = np.frombuffer(zstandard.decompress(data), "<u8").reshape(2, -1).astype(np.int64)
+                more = np.bincount(seen, weights=n, minlength=len(total)).astype(np.int64)
+                more[:len(total)] += total
+                total = more
         seen = np.flatnonzero(total)
         yield {"id": seen, "n": total[seen]}
 
-    rows = (map_rows(tokens.select("ids"), count, "id long, n long")
+    rows = (map_rows(tokens.where("counts IS NOT NULL").select("counts"), count, "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect())
     freq = normalise(np.array([r.n for r in rows], np.int64))
     return spark.createDataFrame([(r.id, int(f)) for r, f in zip(rows, freq)], "id long, freq long")
