@@ -33,22 +33,27 @@ BLOCK_LINES = 512
 MAX_BLOCKS = 65_536  # blocks grow beyond BLOCK_LINES instead
 SALTS = 16
 CRLF = "\r\n"
+NAMELESS = "none"  # in the record name of a page without an id
+NO_ID = -(1 << 63)  # its id in the index
 DATE = "2026-01-01T00:00:00Z"  # capture time; pages carry none
 
 
 # ------------------------------------------------------------------ writing
 def record_types(pages: DataFrame) -> DataFrame:
     """(page_id, digest, refers_to) of the revisits: pages whose payload, of MIN_DEDUP
-    bytes at least, equals that of a page with a smaller id.
+    bytes at least, equals that of a page with a smaller id (a page without an id comes
+    after all that have one).
 
     Narrow columns only; digests are counted before the shuffle, and the rows of
     one digest are spread over SALTS keys for the join back.
     """
     narrow = pages.where(F.col("bytes") >= MIN_DEDUP).select("page_id", "digest")
     first = (narrow.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("digest", "refers_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+             .where("n > 1 AND refers_to IS NOT NULL")
+             .select("digest", "refers_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
     return (narrow.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-            .join(first, ["digest", "salt"]).where("page_id > refers_to").select("page_id", "digest", "refers_to").distinct())
+            .join(first, ["digest", "salt"]).where("page_id > refers_to OR page_id IS NULL")
+            .select("page_id", "digest", "refers_to").distinct())
 
 
 def _digested(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -77,16 +82,20 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     """Write ``pages`` below ``path``, a file per input partition; the payload is
     the html in UTF-8.
 
-    Null html counts as empty and null URLs as the empty URL.  Pages without an id
-    are left out, for a record needs a name; of rows that share an id each gives a
-    record (the smallest id of equal payloads is the response).  Other columns
-    play no part.  An empty table gives a folder without records.
+    Null html counts as empty and null URLs as the empty URL.  A page without an id
+    gives a record too, named after its payload and a row number; it is a revisit
+    where a page with an id has its payload, and a response otherwise, for there is no
+    name to refer to.  Of rows that share an id each gives a record (the smallest id of equal
+    payloads is the response).  Very long payloads are written whole.  Other columns play
+    no part.  An empty table gives a folder without records.
     """
-    df = _digested(pages, id_col, url_col, html_col).where("page_id is not null")
+    df = _digested(pages, id_col, url_col, html_col)
     # a stored table of known size: the planner broadcasts it if it is small
-    revisits = materialise(record_types(df), "warc-revisits")
-    df = df.join(revisits, ["page_id", "digest"], "left")
-    uri = F.concat(F.lit("urn:page:"), F.col("page_id"))
+    revisits = materialise(record_types(df), "warc-revisits").select(
+        F.col("page_id").alias("of"), F.col("digest").alias("same"), "refers_to")
+    df = df.join(revisits, F.col("page_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("same")), "left")
+    unnamed = F.concat(F.lit(f"{NAMELESS}-"), F.substring("digest", 1, 16), F.lit("-"), F.monotonically_increasing_id())
+    uri = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), unnamed))
     same = [("WARC-Record-ID", F.concat(F.lit("<"), uri, F.lit(">"))), ("WARC-Target-URI", F.col("url")),
             ("WARC-Date", F.lit(DATE)), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
             ("X-Payload-Length", F.col("bytes"))]
@@ -111,6 +120,12 @@ def _open(uri: str):
     return store.open_input_file(path)
 
 
+def page_of(name: str) -> int | None:
+    """The page_id in a record's name; None for a page without one."""
+    page = name.strip("<>").rsplit(":", 1)[1]
+    return None if page.startswith(NAMELESS) else int(page)
+
+
 def parse_head(data: bytes) -> dict[str, str]:
     lines = data.decode("utf-8", "replace").split(CRLF)
     if not lines[0].startswith("WARC/"):
@@ -166,7 +181,8 @@ def build_index(spark, archive: str, path: str) -> None:
             for uri in b["path"]:
                 held: dict[str, list] = {k: [] for k in ("key", "page_id", "file", "offset", "length")}
                 for at, length, head in records(uri):
-                    page = int(head["WARC-Record-ID"].strip("<>").rsplit(":", 1)[1])
+                    page = page_of(head["WARC-Record-ID"])
+                    page = NO_ID if page is None else page
                     for k, v in zip(held, (surt(head.get("WARC-Target-URI", "")), page, uri, at, length)):
                         held[k].append(v)
                     if len(held["key"]) >= 4096:
@@ -210,7 +226,8 @@ def build_index(spark, archive: str, path: str) -> None:
 
 def lookup(spark, index: str, wanted: DataFrame) -> DataFrame:
     """Captures (key, page_id, file, offset, length) of the ``wanted`` (url,
-    page_id) pairs; a null page_id asks for all captures of the URL.
+    page_id) pairs; a null page_id asks for all captures of the URL, NO_ID for
+    those of pages without an id.
 
     The directory (MAX_BLOCKS entries at most, by construction) goes to the
     executors; keys meet their block in groups as large as a block.
@@ -285,9 +302,9 @@ def fetch(captures: DataFrame, with_payload: bool = True) -> DataFrame:
                 if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
                     raise ValueError(f"{where}: the record at {at} doesn't match its digest")
                 refers = h.get("WARC-Refers-To")
-                for k, v in zip(out, (int(h["WARC-Record-ID"].strip("<>").rsplit(":", 1)[1]), h.get("WARC-Target-URI", ""),
+                for k, v in zip(out, (page_of(h["WARC-Record-ID"]), h.get("WARC-Target-URI", ""),
                                       kind, int(h["X-Payload-Length"]), digest,
-                                      refers and int(refers.strip("<>").rsplit(":", 1)[1]),
+                                      refers and page_of(refers),
                                       payload.decode("utf-8", "replace") if with_payload and kind == "response" else None)):
                     out[k].append(v)
             yield out
@@ -306,6 +323,6 @@ def round_trip(pages: DataFrame, with_payload: bool = True) -> DataFrame:
     root = scratch_path(spark, "warc")
     write(pages, f"{root}/archive")
     build_index(spark, f"{root}/archive", f"{root}/index")
-    wanted = pages.select(plain_url(F.col("url")).alias("url"), "page_id").where("page_id is not null")
+    wanted = pages.select(plain_url(F.col("url")).alias("url"), F.coalesce("page_id", F.lit(NO_ID)).alias("page_id"))
     captures = materialise(lookup(spark, f"{root}/index", wanted), "warc-captures")
     return fetch(captures, with_payload)

@@ -107,11 +107,21 @@ def test_archives_and_index(spark):
         assert (r.payload_bytes, r.payload_digest) == (len(payload), digest)
         assert (r.record_type, r.refers_to) == (("response", None) if ref == page else ("revisit", ref))
         assert r.payload == (html or "" if ref == page else None)
-    assert set(got) == {1, 2, 3, 4, 5, 6, 7}
+    assert set(got) == {None, 1, 2, 3, 4, 5, 6, 7}
+    assert (got[None].record_type, got[None].refers_to, got[None].payload_bytes) == ("revisit", 6, 150)
     assert warc.surt("http://www.A.b.org:80/x?y#z") == "org,b,a)/x?y"
     assert warc.round_trip(df.limit(0)).collect() == []
 
 
+def test_pages_without_an_id_are_archived(spark):
+    payload = "y" * 120
+    pages = [(None, "u", payload), (None, "u", payload), (None, None, ""), (None, "v", None), (9, "u", "z" * 120)]
+    got = warc.round_trip(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id or 0, r.url, r.record_type, r.payload) for r in got) == sorted(
+        (i or 0, u or "", "response", h or "") for i, u, h in pages)
+    assert all(r.refers_to is None for r in got)
+
+
 def test_mixing_matches_a_plain_version(docs, none, rows):
     mix = mixing.Mix(500, epochs=2, weights={"lang": {"en": 30}})
     got = mixing.mix(docs, mix).collect()
