@@ -38,8 +38,8 @@ FILTER_BITS = 1 << 27  # the most; BITS_PER_KEY for each reduced word up to ther
 BITS_PER_KEY = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPREAD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd multipliers
-_CELLS = 1 << 17  # letters whose neighbourhoods are made at once, for memory
-GATHER = 8192  # words to a batch
+_CELLS = 1 << 16  # letters whose neighbourhoods are made at once, for memory
+GATHER = 4096  # words to a batch
 
 
 # ------------------------------------------------------------------ vocabulary
