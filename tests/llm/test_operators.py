@@ -498,6 +498,26 @@ def test_hilbert_curve_and_shards(spark, docs, none, rows):
     assert hilbert_shards.assign(none).collect() == []
 
 
+def test_shards_open_only_where_a_value_lies(spark):
+    """By the minima and maxima of a shard a reader of one language or source opens
+    at most 1.3 times the shards that hold it; hot values, long common beginnings."""
+    r = random.Random(7)
+    rows = [(i, _text(r, r.randint(1, 60)), r.choices(["de", "en", "es", "fr"], [2, 10, 1, 2])[0],
+             f"https://archive.example/{r.choices(['a', 'b', 'c', 'd'], [6, 1, 1, 1])[0]}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = hilbert_shards.assign(df, buckets=4).collect()
+    for column in ("lang", "source"):
+        ends: dict = {}
+        for x in got:
+            a, b = ends.get(x["shard"], (x[column], x[column]))
+            ends[x["shard"]] = min(a, x[column]), max(b, x[column])
+        for value in {x[column] for x in got}:
+            holds = len({x["shard"] for x in got if x[column] == value})
+            assert sum(a <= value <= b for a, b in ends.values()) <= 1.3 * holds, (column, value)
+    for odd in (df.withColumn("source", F.lit(None).cast("string")), df.drop("lang"), df.withColumn("text", F.lit(None).cast("string"))):
+        assert sorted(x["shard"] for x in hilbert_shards.assign(odd).collect()) == sorted(x["shard"] for x in got)
+
+
 def test_pipeline_keeps_columns_and_decisions(spark, tmp_path, docs):
     import corpus_pipeline
     r = random.Random(12)
