@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from mercato.llm.common import map_rows
 
 SAMPLE_PAGES = 200  # of the table, by the hash of the page; bounds the training
+MOST_CHARS, MOST_BLOCKS = 200_000, 400  # of a page of the sample
 EPOCHS = 25
 
 # HTML elements.
@@ -31,7 +32,7 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body button caption c
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe label legend li main menu
 nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN_TAGS = frozenset("script style template noscript svg math object head title textarea select".split())
+HIDDEN_TAGS = frozenset("script style template head title textarea select".split())  # never text of an article
 RAW_TAGS = frozenset("script style textarea title".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -40,7 +41,8 @@ ENDS_P = BLOCK_TAGS - {"body", "html", "head", "button", "label", "legend", "sum
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    r"|<(/?)([a-zA-Z][^\s/><]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)>", re.S)  # a quote that never ends
 _ATTRIBUTE = re.compile(r"(=?[^\s/=]+|=)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']\S*))?)?")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
@@ -78,7 +80,7 @@ def blocks_of(page: str | None) -> list[Block]:
         tag = stack[-1][0]
         if tag in BLOCK_TAGS:
             flush()
-        hidden -= tag in HIDDEN_TAGS or "#hidden" in stack[-1][1]
+        hidden -= tag in HIDDEN_TAGS
         links -= tag == "a"
         heads -= tag == "head"
         stack.pop()
@@ -104,10 +106,11 @@ def blocks_of(page: str | None) -> list[Block]:
         if not m:
             break
         at = m.end()
-        tag = (m[2] or "").lower()
+        closing, tag, attributes = m.group(1, 2, 3) if m[2] else m.group(4, 5, 6)
         if not tag:
             continue
-        if m[1]:
+        tag = tag.lower()
+        if closing:
             close({tag})
             continue
         if heads and tag not in HEAD_TAGS:
@@ -127,7 +130,7 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         names, mark = set(), None
         seen: dict[str, str] = {}
-        for a in _ATTRIBUTE.finditer(m[3]):
+        for a in _ATTRIBUTE.finditer(attributes):
             seen.setdefault(a[1].lower(), (a[2] or a[3] or a[4] or "").lower())
         if "data-main" in seen:
             mark = seen["data-main"] == "1"
@@ -136,10 +139,10 @@ def blocks_of(page: str | None) -> list[Block]:
         for a in ("class", "id", "role"):
             if a in seen:
                 names.update(_NAME.findall(seen[a]))
-        if m[3].endswith("/") and tag not in BLOCK_TAGS:
+        if attributes.endswith("/") and tag not in BLOCK_TAGS:
             continue
         stack.append((tag, frozenset(names), mark))
-        hidden += tag in HIDDEN_TAGS or "#hidden" in names
+        hidden += tag in HIDDEN_TAGS
         links += tag == "a"
         heads += tag == "head"
         if tag in RAW_TAGS:  # nothing inside is markup
@@ -180,6 +183,8 @@ def features(blocks: list[Block]) -> list[list[str]]:
         f += [f"in={x}" for x in tags if x not in ("html", "body", "div", "span", "p", "b", "i", "a")]
         kinds = {KIND_OF[x] for x in b.names if x in KIND_OF}
         f += [f"kind={k}" for k in kinds]
+        if "#hidden" in b.names:
+            f.append("hidden")
         if not kinds and not tags & {"article", "main", "nav", "header", "footer", "aside", "form"}:
             f.append("plain")
         if t[-1] in ".!?…:\"”»。":
@@ -315,7 +320,14 @@ def template_pages(copies: int = 12) -> list[str]:
     return [re.sub(r"\{[WSL]\}", lambda m: fill[m[0]](), t) for t in TEMPLATES for _ in range(copies)]
 
 
-_OUTSIDE = {"nav", "footer", "aside", "form", "header"}
+_LANDMARKS = {"article", "main", "nav", "footer", "aside", "header", "section"}
+
+
+def without_landmarks(blocks: list[Block], names: bool = False) -> list[Block]:
+    """The blocks as they would be on a page of the same make whose landmark elements
+    are plain ``div``s (and, unless ``names``, whose classes and ids say nothing)."""
+    return [b._replace(path=tuple("div" if t in _LANDMARKS else t for t in b.path),
+                       names=b.names if names else frozenset()) for b in blocks]
 
 
 def landmark_labels(blocks: list[Block]) -> list[int] | None:
@@ -332,10 +344,13 @@ def landmark_labels(blocks: list[Block]) -> list[int] | None:
 
 
 def fit(pages: DataFrame, html_col: str = "html") -> Field:
-    """The field trained on the templates and on SAMPLE_PAGES of ``pages``."""
+    """The field trained on the templates and on SAMPLE_PAGES of ``pages``, of at most
+    MOST_CHARS characters and MOST_BLOCKS blocks.  Each sampled page is learnt three times: as
+    it is, with plain elements for its landmarks, and without class names as well, so that the field
+    tells main text from the rest where pages have no landmarks."""
     total = max(1, pages.count())
     share = min(1_000_000, -(-SAMPLE_PAGES * 2_000_000 // total))  # twice the sample, so that few rows are sorted
-    sample = (pages.select(F.col(f"`{html_col}`").alias("html")).where("length(html) < 200000")
+    sample = (pages.select(F.col(f"`{html_col}`").alias("html")).where(F.length("html") < MOST_CHARS)
               .select("html", F.xxhash64("html").alias("h")).where(F.expr(f"pmod(h, 1000000) < {share}"))
               .orderBy("h").limit(SAMPLE_PAGES).collect())
     labelled = []
@@ -345,8 +360,9 @@ def fit(pages: DataFrame, html_col: str = "html") -> Field:
     for r in sample:
         blocks = blocks_of(r.html)
         labels = landmark_labels(blocks)
-        if labels is not None and len(blocks) <= 400:
-            labelled.append((features(blocks), labels))
+        if labels is not None and len(blocks) <= MOST_BLOCKS:
+            for seen in (blocks, without_landmarks(blocks, names=True), without_landmarks(blocks)):
+                labelled.append((features(seen), labels))
     return train(labelled)
 
 
@@ -362,7 +378,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Null or empty html gives the empty text, as does a page without main text.
     Repeated rows give repeated results, null ids and URLs are passed on, other
-    columns play no part, and an empty table gives an empty result.
+    columns play no part, and an empty table gives an empty result.  Very long pages are
+    cut into blocks in one pass, in linear time.
     """
     use = field or fit(pages, html_col)
 
