@@ -60,7 +60,9 @@ def domain_of(source: Column) -> Column:
 
 
 def _leaves(docs: DataFrame, mix: Mix, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with domain, language, source (null: empty), tokens and id as text."""
+    """``docs`` with domain, language, source (null: empty), tokens and id as text.  A column
+    named ``domain`` is the domain; without one it is derived from the source's name.  No
+    other column plays a part; whole texts are counted, however long."""
     def has(name):
         return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) if name in docs.columns else F.lit("")
 
@@ -182,7 +184,8 @@ def mix(docs: DataFrame, mix: Mix = PRODUCTION, id_col: str = "doc_id", text_col
 
 
 def select(docs: DataFrame, mix: Mix = PRODUCTION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the mixture takes, once for each time."""
+    """The rows of ``docs`` that the mixture takes, once for each time; a ``domain``
+    column, where there is one, heads the tree."""
     taken = _taken(docs, mix, id_col, text_col)
     copies = F.col("__mx_epochs") + F.col("__mx_part").cast("int")
     return (taken.withColumn("__mx_copy", F.explode(F.expr(

@@ -141,6 +141,14 @@ def test_mixing_matches_a_plain_version(docs, none, rows):
     assert mixing.mix(none, mix).collect() == [] and mixing.select(none, mix).count() == 0
 
 
+def test_a_domain_column_heads_the_tree(docs):
+    plain = docs.withColumn("domain", F.lit("own"))
+    got = mixing.mix(plain, mixing.Mix(500)).collect()
+    assert {r.domain for r in got} == {"own"}
+    assert {r.domain for r in mixing.mix(docs, mixing.Mix(500)).collect()} <= {"web", "books", "forum"}
+    assert mixing.select(plain, mixing.Mix(500)).columns == plain.columns
+
+
 def test_shortages_go_to_siblings_before_ancestors(spark):
     """The short source's share goes to its language's other source first."""
     rows = ([(i, "a " * 10, "en", "src1") for i in range(2)] + [(10 + i, "a " * 10, "en", "src2") for i in range(50)]
