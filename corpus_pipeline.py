@@ -4,6 +4,11 @@ sharding of ``documents``, each stage on all that the one before kept.
 Every stage is written as Parquet in the shared folder and read again, so a lost
 executor never repeats more than a stage.  No SQL can express the learnt and
 tree-based stages (ORACLE_SQL is None); tests hold run() against brute force.
+
+All stages take whole texts, however long, and carry other columns along; all but the
+last return the columns they got.  Repeated rows are rows of their own (but for the
+near-duplicates, where they are copies), an empty table stays empty.  Null and empty texts and null ids are never an error; what becomes of them is
+said at each stage.
 """
 
 from __future__ import annotations
@@ -18,27 +23,33 @@ MIX = mixing.Mix(budget_permille=900, epochs=1, seed=mixing.PRODUCTION.seed, wei
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity operator rejects go."""
+    """Documents that the toxicity operator rejects go.  Null and empty texts hold no toxic
+    passage and stay; rows without an id are judged like others but never learnt from."""
     return toxic_segments.keep_clean(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays: that with the smallest id,
+    ties by the row's hash.  Texts without a word have fingerprint zero and form one group,
+    so one of them stays."""
     return simhash_vptree.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a copy of a benchmark item go."""
+    """Documents that hold a copy of a benchmark item go, whether they or the item have an
+    id or not; null and empty texts hold none and stay."""
     return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mixture takes stay."""
+    """Documents that the mixture takes stay.  Null languages and sources are branches of
+    their own, null and empty texts count no tokens, ties in the seeded order go by id."""
     return mixing.select(docs, MIX)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document gets its shard and its slot there."""
+    """Every document gets its shard and its slot there; null texts count as empty,
+    null ids come first, ties go by the text's hash."""
     return hilbert_shards.assign(docs)
 
 
