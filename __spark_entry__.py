@@ -99,8 +99,7 @@ def q_recent_order_details(spark, sf_dir):
 
 # ---------------------------------------------------------------- hourly
 def _hourly(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return sales.hourly_sales_metrics(t["orders"], t["products"])
+    return sales.hourly_of_lines(_tables(spark, sf_dir)["sales_lines"])
 
 
 def q_hourly_sales_metrics(spark, sf_dir):
@@ -143,8 +142,7 @@ def q_rfm_ntile(spark, sf_dir):
 
 # ---------------------------------------------------------------- products
 def _performance(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return prod.category_performance(t["sold_orders"], t["products"])
+    return prod.performance_of_lines(_tables(spark, sf_dir)["sold_lines"])
 
 
 def _analysis(spark, sf_dir):
@@ -195,7 +193,13 @@ def q_product_analysis_top10(spark, sf_dir):
 
 
 def q_save_clv(spark, sf_dir):
-    return _report(sinks.save_table(_clv(spark, sf_dir), "customer_lifetime_value"))
+    """The build is tested before the name moves to it."""
+    return _report(sinks.publish_table(_clv(spark, sf_dir), "customer_lifetime_value", _clv_checks, keep=10))
+
+
+def _clv_checks(clv):
+    return quality.quality_report(clv, unique=["customer_id"], not_null=["customer_id", "total_orders"],
+                                  accepted={"customer_tier": cust.TIERS})
 
 
 # ---------------------------------------------------------------- data quality
@@ -219,9 +223,7 @@ def q_dq_clv_accepted_tier(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
-    return quality.quality_report(_saved_clv(spark, sf_dir), unique=["customer_id"],
-                                  not_null=["customer_id", "total_orders"],
-                                  accepted={"customer_tier": cust.TIERS})
+    return _clv_checks(_saved_clv(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- sources / catalog

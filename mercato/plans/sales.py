@@ -61,18 +61,24 @@ def hourly_metrics_of(lines: DataFrame, group: list[str], orders, customers, mea
     )
 
 
+def with_products(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Order lines with category, subcategory and cost_price; lines of unknown products drop out."""
+    return orders.join(products.select("product_id", "category", "subcategory", "cost_price"), "product_id")
+
+
+def hourly_of_lines(lines: DataFrame) -> DataFrame:
+    """Hourly metrics of lines that carry their product's columns."""
+    return hourly_metrics_of(
+        lines.withColumn("sales_hour", hour_floor("order_date")), ["sales_hour", "category", "subcategory"],
+        F.countDistinct("order_id"), F.countDistinct("customer_id"))
+
+
 def hourly_sales_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Per (sales_hour, category, subcategory), all statuses.
 
     Money columns are exact decimals; averages are per order *line*.
-    Lines whose product is unknown drop out (inner join).
     """
-    lines = orders.select(
-        hour_floor("order_date").alias("sales_hour"), "order_id", "customer_id",
-        "product_id", "quantity", "unit_price", "discount_pct", "status")
-    prods = products.select("product_id", "category", "subcategory", "cost_price")
-    return hourly_metrics_of(lines.join(prods, "product_id"), ["sales_hour", "category", "subcategory"],
-                             F.countDistinct("order_id"), F.countDistinct("customer_id"))
+    return hourly_of_lines(with_products(orders, products))
 
 
 def hourly_margin_top(hourly: DataFrame, n: int = 20) -> DataFrame:

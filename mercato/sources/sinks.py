@@ -26,7 +26,7 @@ def save_table(df: DataFrame, name: str, location: str | None = None,
     """Replace table ``name`` with ``df``: the new version is written to a folder of
     its own, and the name points there only when it is complete, so readers of the
     old version keep their files."""
-    return publish_table(df, name, None, location, partition_by)
+    return publish_table(df, name, None, location, partition_by, keep=10)
 
 
 class FailedChecks(ValueError):
