@@ -24,7 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 128
+SPLITS = 32
 CELL_ROWS = 1_000_000
 
 
