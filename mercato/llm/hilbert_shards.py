@@ -105,8 +105,11 @@ class Scales:
     def steps(self, docs: DataFrame) -> list[Column]:
         """Step of each dimension: how many splits lie below the row's value."""
         def below(splits: list, value: Column) -> Column:
+            if not splits:
+                return F.lit(0)
             held = F.array(*[F.lit(s).cast("long") for s in splits])
-            return F.size(F.filter(held, lambda s: s < value)).cast("int") if splits else F.lit(0)
+            # the value is a row's lambda variable, so it is worked out once, not for each split
+            return F.transform(F.array(value), lambda v: F.size(F.filter(held, lambda s: s < v)))[0].cast("int")
 
         return [below(splits, d) for splits, d in zip(self.splits, self._dimensions(docs))]
 
