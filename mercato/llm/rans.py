@@ -93,12 +93,14 @@ class PieceTokenizer:
         ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
         if not len(ends) or not ends[-1]:
             return
-        whole = np.frombuffer(b"".join(raw), np.uint8)
+        joined = b"".join(raw)
+        whole = np.frombuffer(joined, np.uint8)
         starts = np.concatenate([[0], ends[:-1]])
+        kind = np.frombuffer(joined.translate(_KINDS), np.uint8)
         cut = np.zeros(len(whole), bool)
-        cut[starts[starts < ends]] = cut[_safe_spaces(whole, ends)] = True
-        cut[1:] |= _LETTER[whole[:-1]] & _MARK[whole[1:]]
-        cut[2:] |= _INK[whole[:-2]] & (whole[1:-1] == 10) & _LETTER[whole[2:]]
+        cut[starts[starts < ends]] = cut[_safe_spaces(kind, ends)] = True
+        cut[1:] |= (kind[:-1] == _LETTER) & (kind[1:] == _MARK)
+        cut[2:] |= _is_ink(kind[:-2]) & (kind[1:-1] == _BREAK) & (kind[2:] == _LETTER)
         cuts = np.flatnonzero(cut)
         pieces = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(cuts),
@@ -157,25 +159,38 @@ class PieceTokenizer:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
 
-def _safe_spaces(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+# Kinds of bytes; characters beyond ASCII are told by their first byte.
+_OTHER, _SPACE, _BREAK, _LETTER, _MARK, _INK, _NEXT, _LATIN, _WIDE, _DOUBTFUL = range(10)
+
+
+def _kind_of(byte: int) -> int:
+    c = chr(byte)
+    if byte >= 0x80:
+        # lead bytes of U+0080 .. U+00BF and of U+1000 .. U+3FFF: some of these are white space
+        return (_NEXT if byte < 0xC0 else _LATIN if byte == 0xC2 else _DOUBTFUL if 0xE1 <= byte <= 0xE3 else _WIDE)
+    if not 32 < byte < 127:  # white space and control
+        return {32: _SPACE, 10: _BREAK}.get(byte, _OTHER)
+    return _LETTER if c.isalpha() else _INK if c.isdigit() or c == "'" else _MARK
+
+
+_KINDS = bytes(_kind_of(b) for b in range(256))
+
+
+def _is_ink(kind: np.ndarray) -> np.ndarray:
+    return (kind >= _LETTER) & (kind <= _INK)
+
+
+def _safe_spaces(kind: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Places of single spaces between two characters that surely aren't white space.
     Beyond ASCII, characters that share a lead byte with one that is count as such:
     a space beside them is no place to cut, which costs nothing but a longer piece."""
-    at = np.flatnonzero(raw[1:-1] == 32) + 1
-    at = at[~np.isin(at + 1, ends)]  # not the last of its text
-    before, after = raw[at - 1], raw[at + 1]
-    lead = np.where(raw[at - 2] == 0xC2, True, (raw[at - 3] >= 0xE1) & (raw[at - 3] <= 0xE3))  # U+0085 .. U+3000
-    ok = _INK[before] | ((before >= 0x80) & ~lead & (at >= 3))
-    ok &= _INK[after] | ((after >= 0xC3) & ~((after >= 0xE1) & (after <= 0xE3)))
-    return at[ok]
-
-
-_INK = np.zeros(256, bool)  # ASCII that is neither white space nor control
-_INK[33:127] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
-_MARK = _INK & ~_LETTER
-_MARK[[*range(48, 58), ord("'")]] = False
+    last = np.zeros(len(kind) + 1, bool)
+    last[ends - 1] = True
+    at = np.flatnonzero(kind[1:-1] == _SPACE) + 1
+    at = at[~last[at]]
+    before, after = kind[at - 1], kind[at + 1]
+    surely = (before == _NEXT) & (kind[at - 2] != _LATIN) & (kind[at - 3] != _DOUBTFUL) & (at >= 3)
+    return at[(_is_ink(before) | surely) & (_is_ink(after) | (after == _WIDE))]
 
 
 def tokenizer(path: str) -> PieceTokenizer:
