@@ -1,8 +1,8 @@
 """Column-expression helpers: money arithmetic, rounding and time."""
 
 from mercato.functions.money import (  # noqa: F401
-    MONEY, PCT, money, pct, line_gross, line_net, line_discount, line_cost,
-    minor_units, exact_sum, sum_gross, sum_net, sum_discount, sum_cost, avg_gross,
+    MONEY, PCT,
+    minor_units, exact_sum, sum_gross, sum_net, sum_discount, sum_cost,
     round_to, ratio, avg_of, decimals_to_double,
 )
 from mercato.functions.timefn import (  # noqa: F401

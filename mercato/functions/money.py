@@ -31,50 +31,12 @@ from pyspark.sql.types import DecimalType
 MONEY = DecimalType(12, 2)
 PCT = DecimalType(5, 2)
 _ROUNDING = DecimalType(28, 8)
-_ONE_PERCENT = DecimalType(3, 2)
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c: Column | str) -> Column:
-    return _c(c).cast(MONEY)
-
-
-def pct(c: Column | str) -> Column:
-    return _c(c).cast(PCT)
-
-
-def _one_percent() -> Column:
-    return F.lit(Decimal("0.01")).cast(_ONE_PERCENT)
-
-
-def line_gross(quantity: Column | str = "quantity",
-               unit_price: Column | str = "unit_price") -> Column:
-    """quantity * unit_price (exact decimal)."""
-    return _c(quantity) * _c(unit_price)
-
-
-def line_net(quantity: Column | str = "quantity",
-             unit_price: Column | str = "unit_price",
-             discount_pct: Column | str = "discount_pct") -> Column:
-    """quantity * unit_price * (1 - discount_pct / 100); NULL discount -> NULL."""
-    return _c(quantity) * _c(unit_price) * (F.lit(1) - _c(discount_pct) * _one_percent())
-
-
-def line_discount(quantity: Column | str = "quantity",
-                  unit_price: Column | str = "unit_price",
-                  discount_pct: Column | str = "discount_pct") -> Column:
-    """quantity * unit_price * discount_pct / 100."""
-    return _c(quantity) * _c(unit_price) * _c(discount_pct) * _one_percent()
-
-
-def line_cost(quantity: Column | str = "quantity",
-              cost_price: Column | str = "cost_price") -> Column:
-    return _c(quantity) * _c(cost_price)
-
-
 _LOW_BITS = 20
 _LOW_MASK = (1 << _LOW_BITS) - 1
 
@@ -120,12 +82,6 @@ def sum_cost(quantity="quantity", cost_price="cost_price") -> Column:
     return exact_sum(_q(quantity) * minor_units(cost_price), 2)
 
 
-def avg_gross(quantity="quantity", unit_price="unit_price") -> Column:
-    """AVG(quantity * unit_price) over lines, as DOUBLE."""
-    both = _c(quantity).isNotNull() & _c(unit_price).isNotNull()
-    return ratio(sum_gross(quantity, unit_price), F.count_if(both))
-
-
 def round_to(c: Column | str, digits: int) -> Column:
     """ROUND(x, digits), half away from zero, on a decimal representation."""
     return F.round(_c(c).cast(_ROUNDING), digits)
