@@ -87,6 +87,13 @@ def is_delta_table(spark: SparkSession, location: str) -> bool:
     return bool(Manifest(spark, location).numbers())
 
 
+def remove(spark: SparkSession, location: str) -> None:
+    """Remove the manifest, then the runs."""
+    if is_delta_table(spark, location):
+        for name in ("_manifest", "lines", "index", "keys", "sums"):
+            files.delete(spark, f"{location}/{name}")
+
+
 def read_metrics(spark: SparkSession, location: str) -> DataFrame:
     """The hourly metrics as of the last whole batch."""
     runs = Manifest(spark, location).load()["tables"].get("sums", [])
