@@ -1,10 +1,11 @@
 """Hourly sales metrics and the reports on top of them, plus base probes.
 
 Scale notes
-* ``hourly_sales_metrics`` has two exact distinct counts in one group-by.
-  Spark plans them with an ``Expand`` whose first aggregate is keyed on
-  (group, order_id / customer_id), so even an hour holding a third of all
-  lines is spread over many tasks before the final per-group merge.
+* ``hourly_sales_metrics`` has two exact distinct counts.  Planned in one group-by with
+  the sums, each line becomes three rows that carry the buffers of all of them.  So the keys are made
+  distinct apart, as narrow rows (group, order_id / customer_id), and their counts join
+  the lines in the one group-by of the sums.  Even an hour holding a third of all lines is
+  spread over many tasks before the final per-group merge.
 * The hour bucket is built from NTZ fields (no session-zone dependence).
 * The daily summary and margin report read the (exact, decimal) hourly
   table, so re-aggregating it is exact and cheap.
@@ -14,11 +15,15 @@ Scale notes
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.money import exact_sum, minor_units, ratio, round_to
 from mercato.functions.timefn import hour_floor
+from mercato.session import task_slots
+from mercato.sources import files
 
 STATUSES = ("COMPLETED", "PENDING", "PROCESSING", "SHIPPED")
 
@@ -30,6 +35,11 @@ HOURLY_COLUMNS = (
 )
 
 
+GROUP = ["sales_hour", "category", "subcategory"]
+TASK_BYTES = 8 << 20  # of the input's files; some half a million lines
+SALTS = 8
+
+
 def line_measures() -> dict:
     """Name -> (expression, type): what a joined line adds to its group, in whole minor
     units, so that sums are exact."""
@@ -66,11 +76,41 @@ def with_products(orders: DataFrame, products: DataFrame) -> DataFrame:
     return orders.join(products.select("product_id", "category", "subcategory", "cost_price"), "product_id")
 
 
-def hourly_of_lines(lines: DataFrame) -> DataFrame:
-    """Hourly metrics of lines that carry their product's columns."""
-    return hourly_metrics_of(
-        lines.withColumn("sales_hour", hour_floor("order_date")), ["sales_hour", "category", "subcategory"],
-        F.countDistinct("order_id"), F.countDistinct("customer_id"))
+def hourly_of_lines(lines: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Hourly metrics of lines that carry their product's columns.
+
+    ``tasks``: how many partitions the lines are dealt to, by default one per TASK_BYTES of the
+    files behind them.  The hash tables of a task grow with its lines, and a count of
+    partitions that doesn't grow with the table would let them grow as well.
+    """
+    tasks = tasks or input_tasks(lines)
+    timed = lines.withColumn("sales_hour", hour_floor("order_date"))
+    measures = line_measures()
+    counts = distinct_counts(timed, tasks)
+    # a group's lines meet in a few tasks, so that the largest group is no single task's work
+    dealt = timed.repartition(tasks, *GROUP, F.pmod(F.xxhash64("order_id"), F.lit(SALTS))) if tasks else timed
+    every = dealt.select(*GROUP, *[F.lit(None).cast("long").alias(c) for c in counts.columns if c not in GROUP],
+                         *[e.cast(t).alias(c) for c, (e, t) in measures.items()])
+    both = every.unionByName(counts.withColumns({c: F.lit(None).cast(t) for c, (_, t) in measures.items()}))
+    return hourly_metrics_of(both, GROUP, F.coalesce(F.sum("orders_once"), F.lit(0)).cast("long"),
+                             F.coalesce(F.sum("customers_once"), F.lit(0)).cast("long"), measured=True)
+
+
+def distinct_counts(lines: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(group, orders_once, customers_once): exact distinct counts, from narrow rows."""
+    each = F.explode(F.array(F.struct(F.lit(True).alias("is_order"), F.col("order_id").alias("key")),
+                             F.struct(F.lit(False).alias("is_order"), F.col("customer_id").alias("key"))))
+    keys = lines.select(*GROUP, each.alias("k")).select(*GROUP, "k.*").where("key IS NOT NULL")
+    if tasks:
+        keys = keys.repartition(tasks, *GROUP, "is_order", "key")
+    return keys.distinct().groupBy(*GROUP).agg(F.count_if("is_order").alias("orders_once"),
+                                               F.count_if(~F.col("is_order")).alias("customers_once"))
+
+
+def input_tasks(df: DataFrame) -> int | None:
+    """Partitions for the rows of ``df`` by the size of the files behind it; None without files."""
+    size = sum(files.size(df.sparkSession, unquote(f)) for f in df.inputFiles())
+    return max(task_slots(df.sparkSession), -(-size // TASK_BYTES)) if size else None
 
 
 def hourly_sales_metrics(orders: DataFrame, products: DataFrame) -> DataFrame:

@@ -21,6 +21,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(target)) if fs.exists(target) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file."""
+    fs, target = _at(spark, path)
+    return fs.getFileStatus(target).getLen()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _at(spark, path)
     fs.delete(target, True)
