@@ -205,10 +205,15 @@ class DeltaStore:
         return df
 
     def write(self, name: str, df: DataFrame, order: list[str], first: int, last: int, level: int = 0) -> dict:
-        """A new run, clustered so that ranges of its key are ranges of files."""
+        """A new run.  Stored lines and ids are clustered so that ranges of their key are ranges of
+        files.  What a grouping made stays as it left it, sorted within files: a range
+        partitioning would compute it twice, for the bounds and for the rows."""
         run = {"name": f"{name}/{uuid.uuid4().hex}", "level": level, "first": first, "last": last}
-        (df.repartitionByRange(*order).sortWithinPartitions(*order)
-         .write.parquet(f"{self.location}/{run['name']}"))
+        if name in ("lines", "index"):
+            df = df.repartitionByRange(*order)
+        if name != "sums":  # always read whole
+            df = df.sortWithinPartitions(*order)
+        df.write.parquet(f"{self.location}/{run['name']}")
         return run
 
     # ---- what a batch reads
