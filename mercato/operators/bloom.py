@@ -33,10 +33,22 @@ def bloom_filter(df: DataFrame, keys: Sequence[Column | str], blocks: int = MAX_
 def might_contain(df: DataFrame, bloom: DataFrame, keys: Sequence[Column | str],
                   blocks: int = MAX_BLOCKS) -> DataFrame:
     """Rows of ``df`` whose key may be in the filter: all that are, few that aren't."""
+    return _looked_up(df, bloom, keys, blocks, "inner").where(_FOUND).drop(*_WORK)
+
+
+def wont_contain(df: DataFrame, bloom: DataFrame, keys: Sequence[Column | str],
+                 blocks: int = MAX_BLOCKS) -> DataFrame:
+    """The other rows of ``df``: none whose key is in the filter."""
+    return _looked_up(df, bloom, keys, blocks, "left").where(~F.coalesce(F.expr(_FOUND), F.lit(False))).drop(*_WORK)
+
+
+_WORK = ("_bloom_hash", "_bloom_block", "_bloom_bits", "_wanted")
+_FOUND = "(_bloom_bits & _wanted) = _wanted"
+
+
+def _looked_up(df: DataFrame, bloom: DataFrame, keys: Sequence[Column | str], blocks: int, how: str) -> DataFrame:
     h, bits = _place(keys, blocks)
     return (df.withColumn("_bloom_hash", h)
             .withColumn("_bloom_block", F.pmod("_bloom_hash", F.lit(blocks)))
-            .join(F.broadcast(bloom), "_bloom_block")  # MAX_BLOCKS rows at most
-            .withColumn("_wanted", bits)
-            .where(F.col("_bloom_bits").bitwiseAND(F.col("_wanted")) == F.col("_wanted"))
-            .drop("_bloom_hash", "_bloom_block", "_bloom_bits", "_wanted"))
+            .join(F.broadcast(bloom), "_bloom_block", how)  # MAX_BLOCKS rows at most
+            .withColumn("_wanted", bits))

@@ -32,6 +32,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _at(spark, path)
+    fs.mkdirs(target)
+
+
 def write_once(spark: SparkSession, path: str, text: str) -> None:
     """A new small file; raises where there is one of that name."""
     fs, target = _at(spark, path)

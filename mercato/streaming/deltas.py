@@ -225,7 +225,7 @@ class DeltaStore:
             return self.table(state, "lines", [])
         near = index.where(F.col("order_id").between(ends[0], ends[1]))
         hits = (might_contain(near, bloom_filter(ids, ["order_id"]), ["order_id"])
-                .join(ids, "order_id", "left_semi")
+                .join(ids, "order_id")  # a semi join would be moved below the filter's join
                 .groupBy("order_id").agg(F.max("batch_id").alias("batch_id")).persist())
         try:
             batches = [r[0] for r in hits.select("batch_id").distinct().collect()]  # one per batch at most

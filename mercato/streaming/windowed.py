@@ -9,7 +9,8 @@
   customer in an hour, until the watermark has passed the hour; a second adds them up
   with the lines.  State covers the delay, not the feed.
 * ``repaired`` puts the side table's lines into their hours: only groups that have late
-  lines are computed again, from the lines of their hours.
+  lines are computed again, from the lines of their hours.  A Bloom filter of these groups
+  keeps the lines and results of most others out of the exact joins.
 
 The router's watermark and the stream's are the newest hour of the batches before less
 the delay.  The stream may lag behind the router but never leads, so it drops nothing.
@@ -19,10 +20,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.functions.timefn import hour_floor
+from mercato.operators.bloom import bloom_filter, might_contain, wont_contain
 from mercato.plans.sales import HOURLY_COLUMNS, hourly_metrics_of, line_measures
 from mercato.sources import files
 
@@ -53,7 +55,7 @@ class ArrivalRouter:
 
     def __init__(self, versions: str, location: str, delay_hours: int):
         self.versions, self.location, self.delay = versions, location, _dt.timedelta(hours=delay_hours)
-        self.on_time, self.late, self.marks = (f"{location}/{x}" for x in ("on_time", "late", "marks"))
+        self.on_time, self.late, self.marks = (f"{location}/{x}" for x in ("side=on_time", "side=late", "marks"))
 
     def watermark(self, spark: SparkSession, batch_id: int) -> _dt.datetime | None:
         """Newest hour of the batches before this one, less the delay."""
@@ -69,16 +71,18 @@ class ArrivalRouter:
         if files.exists(spark, mark):
             return
         at = self.watermark(spark, batch_id)
-        lines = as_of_join(batch, spark.read.parquet(self.versions)).persist()
-        try:
-            behind = F.col("sales_hour").isNull()
-            if at is not None:
-                behind = behind | (F.col("sales_hour") <= F.lit(at).cast("timestamp_ntz"))
-            for rows, folder in ((lines.where(behind), self.late), (lines.where(~behind), self.on_time)):
-                rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id:012d}")
-            newest = lines.agg(F.max("sales_hour")).first()[0]
-        finally:
-            lines.unpersist()
+        lines = as_of_join(batch, spark.read.parquet(self.versions))
+        behind = F.col("sales_hour").isNull()
+        if at is not None:
+            behind = behind | (F.col("sales_hour") <= F.lit(at).cast("timestamp_ntz"))
+        for folder in (self.on_time, self.late):  # a side may get no line
+            files.make_folder(spark, folder)
+        # one pass joins, parts and measures the lines; only this batch's folders are replaced
+        seen = Observation()
+        (lines.observe(seen, F.max("sales_hour").alias("newest"))
+         .withColumns({"side": F.when(behind, F.lit("late")).otherwise(F.lit("on_time")), "batch": F.lit(f"{batch_id:012d}")})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("side", "batch").parquet(self.location))
+        newest = seen.get.get("newest")
         before = at + self.delay if at is not None else None
         newest = max((x for x in (newest, before) if x is not None), default=None)
         files.write_once(spark, mark, newest.isoformat() if newest else "")
@@ -102,37 +106,38 @@ def exact_hourly_stream(lines: DataFrame, delay: str) -> DataFrame:
     group = ["event_hour", "category", "subcategory"]
     measures = line_measures()
 
-    def once(key: str, name: str) -> DataFrame:
-        first = timed.where(F.col(key).isNotNull()).select(*group, key).dropDuplicates([*group, key])
-        return first.select(*group, *[(F.lit(1).cast("long") if c == name else F.lit(None).cast(t)).alias(c)
-                                      for c, t in columns.items()])
-
     columns = {"order_once": "long", "customer_once": "long"} | {c: t for c, (_, t) in measures.items()}
     every = timed.select(*group, F.lit(None).cast("long").alias("order_once"),
                          F.lit(None).cast("long").alias("customer_once"),
                          *[e.cast(t).alias(c) for c, (e, t) in measures.items()])
-    both = (every.unionByName(once("order_id", "order_once"))
-            .unionByName(once("customer_id", "customer_once")))
+    each = F.explode(F.array(F.struct(F.lit(True).alias("is_order"), F.col("order_id").alias("key")),
+                             F.struct(F.lit(False).alias("is_order"), F.col("customer_id").alias("key"))))
+    keys = (timed.select(*group, each.alias("k")).select(*group, "k.*").where("key IS NOT NULL")
+            .dropDuplicates([*group, "is_order", "key"]))
+    counts = {"order_once": F.when(F.col("is_order"), F.lit(1)), "customer_once": F.when(~F.col("is_order"), F.lit(1))}
+    once = keys.select(*group, *[counts.get(c, F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
+    both = every.unionByName(once)
     out = hourly_metrics_of(both, group, F.coalesce(F.sum("order_once"), F.lit(0)).cast("long"),
                             F.coalesce(F.sum("customer_once"), F.lit(0)).cast("long"), measured=True)
-    ntz = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(
-        secs=F.unix_micros("event_hour").cast("decimal(20,0)") / 1_000_000)
+    hours = F.expr("unix_micros(event_hour) div 3600000000").cast("int")
+    ntz = F.timestamp_add("HOUR", hours, F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))
     return out.withColumn("sales_hour", ntz).select(*HOURLY_COLUMNS)
 
 
 def repaired(hourly: DataFrame, on_time: DataFrame, late: DataFrame) -> DataFrame:
     """``hourly`` (from the stream) with the groups of the ``late`` lines computed again
     from all their lines."""
-    def same(a: DataFrame, b: DataFrame):
-        return (a["sales_hour"].eqNullSafe(b["sales_hour"]) & a["category"].eqNullSafe(b["category"])
-                & a["subcategory"].eqNullSafe(b["subcategory"]))
-
     concerned = late.select(*GROUP).distinct()
-    lines = on_time.unionByName(late)
-    lines = lines.join(concerned, same(lines, concerned), "left_semi")
+    bloom = bloom_filter(concerned, GROUP)
+    # joins that add a column, as a semi or anti join would be moved below the filter's join
+    mark = concerned.select(*[F.col(c).alias(f"_{c}") for c in GROUP], F.lit(True).alias("_late")).hint("shuffle_hash")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP]
+    lines = might_contain(on_time, bloom, GROUP).join(mark, same).select(*late.columns).unionByName(late)
     again = hourly_metrics_of(lines, GROUP, F.countDistinct("order_id"), F.countDistinct("customer_id"))
-    kept = hourly.join(concerned, same(hourly, concerned), "left_anti")
-    return kept.select(*HOURLY_COLUMNS).unionByName(again.select(*HOURLY_COLUMNS))
+    kept = (wont_contain(hourly, bloom, GROUP).select(*HOURLY_COLUMNS)
+            .unionByName(might_contain(hourly, bloom, GROUP).join(mark, same, "left").where("_late IS NULL")
+                         .select(*HOURLY_COLUMNS)))
+    return kept.unionByName(again.select(*HOURLY_COLUMNS))
 
 
 def close_hours(spark: SparkSession, on_time: str, after: _dt.datetime, n: int = 2) -> None:
