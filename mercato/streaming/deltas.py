@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.money import ratio, sum_cost, sum_discount, sum_gross, sum_net
 from mercato.functions.timefn import hour_floor
-from mercato.operators.bloom import bloom_filter, might_contain
+from mercato.operators.bloom import bloom_filter, might_contain, wont_contain
 from mercato.plans.sales import HOURLY_COLUMNS, STATUSES
 from mercato.sources import files
 from mercato.streaming.history import record
@@ -137,9 +137,13 @@ def _read(spark: SparkSession, root: str, runs: list[dict], schema: str) -> Data
     return spark.read.schema(schema).parquet(*[f"{root}/{r['name']}" for r in runs])
 
 
-def signed_sums(joined: DataFrame) -> DataFrame:
-    """Sums per group of ``joined``: lines with product columns and ``sign`` (+1, -1)."""
-    signed = joined.withColumn("_quantity", F.col("quantity") * F.col("sign"))
+def signed_sums(joined: DataFrame, counted: DataFrame) -> DataFrame:
+    """Sums per group of ``joined``: lines with product columns and ``sign`` (+1, -1), and of
+    ``counted``: changes of the distinct counts.  One grouping, so that money is added up as
+    whole numbers and made a decimal once."""
+    signed = (joined.select(*GROUP, "sign", "quantity", "unit_price", "discount_pct", "cost_price", "status")
+              .withColumn("_quantity", F.col("quantity") * F.col("sign"))
+              .unionByName(counted, allowMissingColumns=True))
     priced = F.col("quantity").isNotNull() & F.col("unit_price").isNotNull()
 
     def count(condition):
@@ -148,8 +152,8 @@ def signed_sums(joined: DataFrame) -> DataFrame:
     money = {"gross": sum_gross("_quantity"), "net": sum_net("_quantity"),
              "discounts": sum_discount("_quantity"), "cost": sum_cost("_quantity")}
     return signed.groupBy(*GROUP).agg(
-        F.sum("sign").cast("long").alias("lines"),
-        F.lit(0).cast("long").alias("total_orders"), F.lit(0).cast("long").alias("unique_customers"),
+        F.coalesce(F.sum("sign"), F.lit(0)).cast("long").alias("lines"),
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("total_orders", "unique_customers")],
         F.coalesce(F.sum("_quantity"), F.lit(0)).cast("long").alias("units"),
         count(F.col("quantity").isNotNull()).alias("n_units"), count(priced).alias("n_gross"),
         count(priced & F.col("discount_pct").isNotNull()).alias("n_net"),
@@ -167,23 +171,26 @@ def signed_keys(joined: DataFrame) -> DataFrame:
             .agg(F.sum("sign").cast("long").alias("n")).where("n <> 0"))
 
 
-def distinct_changes(changes: DataFrame, before: DataFrame) -> DataFrame:
-    """Rows for ``sums``: by how much the distinct counts change when the signed
-    counts ``changes`` are added to ``before`` (rows of other keys play no part).
-    One grouping serves as a join that treats nulls in the group as equal."""
-    both = (changes.withColumn("was", F.lit(0).cast("long"))
-            .unionByName(before.withColumnRenamed("n", "was").withColumn("n", F.lit(0).cast("long"))))
-    now = both.groupBy(*GROUP, "kind", "key").agg(F.sum("n").alias("n"), F.sum("was").alias("was"))
+def distinct_changes(changes: DataFrame, before: DataFrame | None) -> DataFrame:
+    """(group, total_orders, unique_customers): by how much the distinct counts change when the
+    signed counts ``changes`` (a row per key) are added to ``before`` (None: there are none;
+    rows of other keys play no part).  A Bloom filter tells the keys that ``before`` may hold, only
+    they are grouped with it.  One grouping serves as a join that treats nulls in the group as equal."""
+    key = [*GROUP, "kind", "key"]
+    now = changes.withColumn("was", F.lit(0).cast("long"))
+    if before is not None:
+        stored = bloom_filter(before, key)
+        both = (might_contain(now, stored, key)
+                .unionByName(before.withColumnRenamed("n", "was").withColumn("n", F.lit(0).cast("long"))))
+        now = (wont_contain(now, stored, key)
+               .unionByName(both.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("was").alias("was"))))
     flip = (F.col("was") + F.col("n") > 0).cast("long") - (F.col("was") > 0).cast("long")
     flips = now.where("n <> 0").withColumn("flip", flip).where("flip <> 0")
 
     def of(kind):
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("flip"))), F.lit(0)).cast("long")
 
-    counted = flips.groupBy(*GROUP).agg(of("order").alias("total_orders"), of("customer").alias("unique_customers"))
-    zero = {c: F.lit(0).cast("long") for c in _COUNTS if c not in ("total_orders", "unique_customers")}
-    zero |= {c: F.lit(0).cast(f"decimal(38,{s})") for c, s in _MONEY.items()}
-    return counted.withColumns(zero).select(*_SUM_COLUMNS)
+    return flips.groupBy(*GROUP).agg(of("order").alias("total_orders"), of("customer").alias("unique_customers"))
 
 
 class DeltaStore:
@@ -236,9 +243,11 @@ class DeltaStore:
         finally:
             hits.unpersist()
 
-    def counts_before(self, state: dict, changes: DataFrame) -> DataFrame:
+    def counts_before(self, state: dict, changes: DataFrame) -> DataFrame | None:
         """Stored counts that may concern the keys of ``changes``: the span of their
-        hours, then a Bloom filter."""
+        hours, then a Bloom filter; None before the first are stored."""
+        if not state["tables"].get("keys"):
+            return None
         hours = changes.agg(F.min("sales_hour"), F.max("sales_hour"), F.count_if(F.col("sales_hour").isNull())).first()
         keys = self.table(state, "keys")
         inside = F.lit(False)
@@ -253,14 +262,22 @@ class DeltaStore:
     # ---- what a batch writes
     def apply(self, state: dict, joined: DataFrame, batch_id: int) -> dict:
         """Runs of ``keys`` and ``sums`` for the signed, joined lines."""
-        changes = signed_keys(joined).persist()
+        changes, before = signed_keys(joined).persist(), None
         try:
-            sums = _add_up(signed_sums(joined).unionByName(
-                distinct_changes(changes, self.counts_before(state, changes))))
-            return {"keys": self.write("keys", changes, ["sales_hour", "kind", "key"], batch_id, batch_id),
-                    "sums": self.write("sums", sums, GROUP, batch_id, batch_id)}
+            before = self.counts_before(state, changes)
+            before = before.persist() if before is not None else None
+            return {"keys": self.write("keys", changes, ["sales_hour"], batch_id, batch_id),
+                    "sums": self.write("sums", signed_sums(joined, distinct_changes(changes, before)).select(*_SUM_COLUMNS),
+                                       GROUP, batch_id, batch_id)}
         finally:
-            changes.unpersist()
+            for kept in (changes, before):
+                if kept is not None:
+                    kept.unpersist()
+
+    def units(self, run: dict, unit: str) -> int:
+        """Calendar units that a run of ``sums`` concerns."""
+        hours = _read(self.spark, self.location, [run], _SUMS_SCHEMA).select("sales_hour").distinct()
+        return hours.select(unit_of("sales_hour", unit)).distinct().count()
 
     def commit(self, state: dict, runs: dict, last: int) -> dict:
         tables = {t: [*state["tables"].get(t, []), *([runs[t]] if t in runs else [])] for t in self.schemas}
@@ -273,8 +290,7 @@ class DeltaStore:
         if name == "index":
             return df.groupBy("order_id").agg(F.max("batch_id").alias("batch_id")), ["order_id"]
         if name == "keys":
-            return (df.groupBy(*GROUP, "kind", "key").agg(F.sum("n").alias("n")).where("n <> 0"),
-                    ["sales_hour", "kind", "key"])
+            return df.groupBy(*GROUP, "kind", "key").agg(F.sum("n").alias("n")).where("n <> 0"), ["sales_hour"]
         if name == "sums":
             return _add_up(df), GROUP
         return df, ["order_id"]
@@ -362,7 +378,7 @@ class IncrementalHourlyRefresh:
                     "index": store.write("index", ids.withColumn("batch_id", F.lit(batch_id).cast("long")),
                                          ["order_id"], batch_id, batch_id)}
             runs |= store.apply(state, joined, batch_id)
-            units = joined.select(unit_of("sales_hour", self.unit)).distinct().count()
+            units = store.units(runs["sums"], self.unit)
             self.files_read = store.files_read
             store.merge(store.commit(state, runs, batch_id))
         finally:
