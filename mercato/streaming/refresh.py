@@ -24,6 +24,7 @@ from mercato.streaming.history import HISTORY_SCHEMA, refresh_history
 from mercato.streaming.lines import ORDERS_SCHEMA, UNDATED, UNITS, order_stream, unit_of
 
 KEEP_VERSIONS = 10
+UNIT_PARTITIONS = 1024  # before AQE joins small ones
 _MARKS = "_versions"  # a file per complete version of a full refresh
 
 def refresh_full(orders: DataFrame, products: DataFrame, location: str,
@@ -33,10 +34,11 @@ def refresh_full(orders: DataFrame, products: DataFrame, location: str,
     (the last KEEP_VERSIONS stay), and so does another session that refreshes the same table."""
     spark = orders.sparkSession
     version = f"v-{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:6]}"
-    # Range partitions on the hour let AQE size the writers, and a unit with a
-    # large catalog is written by several.
+    # AQE sizes the writers, and a unit with a large catalog is written by several.  Range
+    # partitions would add up all groups twice, for the bounds and for the rows.  With few units a
+    # partition AQE splits only large units; it would cut every unit of a large partition.
     (hourly_sales_metrics(orders, products).withColumn("sales_unit", unit_of("sales_hour", unit))
-     .repartitionByRange("sales_hour", "category", "subcategory")
+     .hint("rebalance", UNIT_PARTITIONS, "sales_unit")
      .write.partitionBy("sales_unit").parquet(f"{location}/{version}"))
     files.write_once(spark, f"{location}/{_MARKS}/{version}", "")
     deltas.remove(spark, location)  # a full refresh replaces what an incremental one kept
