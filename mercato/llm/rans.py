@@ -36,33 +36,116 @@ LANES = 1024
 SEGMENT_STEPS = 128  # steps (of one id per lane) between checkpoints
 END_ID = 0
 CHUNK_BYTES = 8 << 20  # text cut into pieces at once; a longer text is a chunk of its own
-KNOWN_BYTES = 96 << 20  # ids of pieces remembered, twice (ENTRY: what a dictionary takes for each)
-ENTRY = 200
+KNOWN_BYTES = 80 << 20  # ids of pieces remembered: in the table and, twice, in dictionaries of longer ones
+ENTRY = 200  # what a dictionary takes for each
+KEY = 15  # bytes of the longest piece that the table holds: with its length they fill two words
 GATHER_ROWS = 4096  # rows encoded at once; their texts are cut into chunks
 SHORT = 64  # bytes of the longest piece that is remembered
 
 
 # ------------------------------------------------------------------ tokenizing
+class PieceTable:
+    """Ids of pieces of at most KEY bytes, looked up many at once.
+
+    A piece is two words, its bytes and its length (never 0), which are compared whole; it
+    lies at the first free slot from its hash on.  When ``room`` bytes are full, pieces that
+    were never asked for again are forgotten.
+    """
+
+    def __init__(self, room: int):
+        bits = max(4, (room // 33).bit_length() - 1)  # 8 bytes each in four arrays, a flag
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.most = 5 << bits >> 3
+        self._clear()
+
+    def _clear(self) -> None:
+        slots = self.last + 1
+        self.low, self.high = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.where = np.zeros(slots, np.int64)  # start of its ids, times 16, and their number
+        self.asked = np.zeros(slots, bool)
+        self.ids = np.zeros(2 * slots, np.uint32)
+        self.count = self.used = 0
+
+    def _home(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        mixed = (low ^ (high * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0x9E3779B97F4A7C15)
+        return (((mixed >> np.uint64(29)) ^ mixed) * np.uint64(0xBF58476D1CE4E5B9) >> self.shift).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each piece is known, and if so the start and number of its ids."""
+        at = self._home(low, high)
+        there = self.high[at]
+        known = (there == high) & (self.low[at] == low)
+        left = np.flatnonzero(~known & (there != 0))
+        while len(left):  # slots that hold another piece
+            at[left] = p = (at[left] + 1) & self.last
+            there = self.high[p]
+            known[left] = hit = (there == high[left]) & (self.low[p] == low[left])
+            left = left[~hit & (there != 0)]
+        self.asked[at] = True  # of a free slot: unset once a piece is put there
+        where = self.where[at]
+        return known, where >> 4, where & 15
+
+    def add(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """Remember distinct pieces that aren't known, as many as there is room for."""
+        if self.count + len(n) > self.most or self.used + len(ids) > len(self.ids):
+            kept = np.flatnonzero(self.asked & (self.high != 0))
+            size = self.where[kept] & 15
+            old = self.low[kept], self.high[kept], _laid(self.ids, self.where[kept] >> 4, size), size
+            self._clear()
+            if 2 * len(kept) < self.most and 2 * len(old[2]) < len(self.ids):
+                self._put(*old)
+        fit = min(self.most - self.count, int(np.searchsorted(np.cumsum(n), len(self.ids) - self.used, "right")))
+        self._put(low[:fit], high[:fit], ids[:int(n[:fit].sum())], n[:fit])
+
+    def _put(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        where = (self.used + np.cumsum(n) - n) * 16 + n
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used, self.count = self.used + len(ids), self.count + len(n)
+        at, left = self._home(low, high), np.arange(len(n))
+        while len(left):
+            p = at[left]
+            free = self.high[p] == 0
+            self.where[p[free]] = where[left[free]]  # starts differ: whoever reads its own has the slot
+            won = free & (self.where[p] == where[left])
+            p, had = p[won], left[won]
+            self.low[p], self.high[p], self.asked[p] = low[had], high[had], False
+            left = left[~won]
+            at[left] = (at[left] + 1) & self.last
+
+
+def _laid(ids: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The stretches ``ids[start:start + n]``, one after the other."""
+    after = np.cumsum(n)
+    return ids[np.arange(after[-1] if len(n) else 0) + np.repeat(start - (after - n), n)]
+
+
+# Bytes of a piece that count in its two words, by its length, and the length itself.
+_LOW = np.array([(1 << 8 * min(n, 8)) - 1 for n in range(KEY + 2)], np.uint64)
+_HIGH = np.array([(1 << 8 * max(n - 8, 0)) - 1 for n in range(KEY + 1)] + [0], np.uint64)
+_LENGTH = np.array([n << 56 for n in range(KEY + 1)] + [(1 << 64) - 1], np.uint64)  # longer ones: never in the table
+
+
 class PieceTokenizer:
     """A byte-level BPE tokenizer that encodes each distinct piece of many texts once.
 
     The pre-tokenizer never joins text across a single space between two non-white
     characters, nor a letter with a mark after it (an apostrophe apart), nor a single line break
     with a letter after it, so texts are cut there, wherever else they hold odd spacing.  The pieces
-    of a chunk are numbered with Arrow, new ones encoded by the library, and the ids of all
-    laid out with numpy.  New pieces are encoded side by side in one text: a piece that begins with
-    its only space has its ids from the id that holds one, and words of letters alone are
-    parted by line breaks.  Texts with a special token's opening are encoded whole.
-
-    Ids of short pieces are remembered from chunk to chunk in two generations of
-    KNOWN_BYTES each: when the young one is full, the old one goes.  Pieces of more than
-    SHORT bytes are never remembered, so memory is bounded whatever the texts.
+    of a chunk are looked up at once (PieceTable), those not known numbered with Arrow and encoded
+    by the library, and the ids of all laid out with numpy.  New pieces are encoded side by side
+    in one text: a piece that begins with its only space has its ids from the id that holds one,
+    and words of letters alone are parted by line breaks.  Texts with a special token's opening are encoded whole.
+
+    Ids of pieces are remembered from chunk to chunk: in the table, and those of more than KEY
+    bytes in two generations of KNOWN_BYTES each: when the young one is full, the old one goes.
+    Pieces of more than SHORT bytes are never remembered, so memory is bounded whatever the texts.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        self.table = PieceTable(KNOWN_BYTES)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.held = 0
@@ -93,35 +176,52 @@ class PieceTokenizer:
         ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
         if not len(ends) or not ends[-1]:
             return
-        joined = b"".join(raw)
-        whole = np.frombuffer(joined, np.uint8)
+        joined = b"".join([*raw, bytes(16)])  # the last piece's words end in these
+        whole = np.frombuffer(joined, np.uint8)[:-16]
         starts = np.concatenate([[0], ends[:-1]])
-        kind = np.frombuffer(joined.translate(_KINDS), np.uint8)
+        kind = np.frombuffer(joined.translate(_KINDS), np.uint8)[:-16]
         cut = np.zeros(len(whole), bool)
         cut[starts[starts < ends]] = cut[_safe_spaces(kind, ends)] = True
         cut[1:] |= (kind[:-1] == _LETTER) & (kind[1:] == _MARK)
         cut[2:] |= _is_ink(kind[:-2]) & (kind[1:-1] == _BREAK) & (kind[2:] == _LETTER)
         cuts = np.flatnonzero(cut)
+        length = np.minimum(np.diff(cuts, append=len(whole)), KEY + 1)
+        words = np.ndarray(len(whole), "V16", joined, strides=(1,))[cuts].view("<u8").reshape(-1, 2)
+        low, high = words[:, 0] & _LOW[length], words[:, 1] & _HIGH[length] | _LENGTH[length]
+        known, start, n = self.table.find(low, high)
+        new = np.flatnonzero(~known)
         pieces = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(cuts),
-            [None, pa.py_buffer(np.append(cuts, len(whole))), pa.py_buffer(whole)]).dictionary_encode()
-        ids = self._ids_of(pieces.dictionary.to_pylist())
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), "<u4")
+            pa.large_binary(), len(cuts), [None, pa.py_buffer(np.append(cuts, len(whole))), pa.py_buffer(joined)]
+        ).take(pa.array(new)).dictionary_encode()
+        fresh, begin, size = self._ids_of(pieces.dictionary.to_pylist())
         which = pieces.indices.to_numpy()
-        first = np.concatenate([[0], np.cumsum(length)[:-1]])
-        n = length[which]
+        start[new], n[new] = self.table.used + begin[which], size[which]
+        every = _laid(np.concatenate([self.table.ids[:self.table.used], fresh]), start, n)
         after = np.cumsum(n)
-        every = flat[np.arange(after[-1]) + np.repeat(first[which] - (after - n), n)]
+        one = np.zeros(len(size), np.int64)
+        one[which] = new  # a place of each new piece
+        held = length[one] <= KEY
+        self.table.add(low[one[held]], high[one[held]], _laid(fresh, begin[held], size[held]), size[held])
         # a text's ids end where its last piece's do
         last = np.searchsorted(cuts, ends)
         at = np.concatenate([[0], after])[last]
         for i, a, b in zip(places, [0, *at[:-1].tolist()], at.tolist()):
             out[i] = every[a:b].tobytes()
 
-    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
-        got = [self.young.get(p) or self.old.get(p) for p in pieces]
-        new = [i for i, ids in enumerate(got) if ids is None]
+    def _ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces that the table doesn't hold, and the start and number of each one's."""
+        start, n = np.zeros((2, len(pieces)), np.int64)
+        laid: list[np.ndarray] = []
+        used = 0
+
+        def lay(part: list[int], ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+            nonlocal used
+            start[part], n[part] = used + begin, end - begin
+            laid.append(ids)
+            used += len(ids)
+
+        got = {i: ids for i, p in enumerate(pieces) if len(p) > KEY and (ids := self.young.get(p) or self.old.get(p))}
+        new = [i for i in range(len(pieces)) if i not in got]
         spaced = [i for i in new if len(pieces[i]) > 1 and pieces[i][0] == 32 and b" " not in pieces[i][1:]]
         lettered = [i for i in new if pieces[i].isalpha()]  # of bytes: ASCII letters
         alone = set(new).difference(spaced, lettered)
@@ -132,9 +232,7 @@ class PieceTokenizer:
             if len(at) != len(part) or at[0]:
                 alone.update(part)
                 continue
-            data, bounds = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-            for i, a, b in zip(part, bounds, bounds[1:]):
-                got[i] = data[a:b]
+            lay(part, ids, at, np.append(at[1:], len(ids)))
         for k in range(0, len(lettered), 2000):
             part = lettered[k:k + 2000]
             ids = self._ids(b"\n".join(pieces[i] for i in part).decode())
@@ -142,18 +240,19 @@ class PieceTokenizer:
             if len(at) != len(part) - 1:
                 alone.update(part)
                 continue
-            data = ids.tobytes()
-            for i, a, b in zip(part, [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), 4 * len(ids)]):
-                got[i] = data[a:b]
+            lay(part, ids, np.append(0, at + 1), np.append(at, len(ids)))
         for i in alone:
             got[i] = self._ids(pieces[i].decode()).tobytes()
+        size = np.fromiter(map(len, got.values()), np.int64, len(got)) // 4
+        lay(list(got), np.frombuffer(b"".join(got.values()), "<u4"), np.cumsum(size) - size, np.cumsum(size))
+        every = np.concatenate(laid)
         for i in new:
-            if len(pieces[i]) <= SHORT:
-                self.young[pieces[i]] = got[i]
-                self.held += len(pieces[i]) + len(got[i]) + ENTRY
+            if KEY < len(pieces[i]) <= SHORT:
+                self.young[pieces[i]] = ids = every[start[i]:start[i] + n[i]].tobytes()
+                self.held += len(pieces[i]) + len(ids) + ENTRY
         if self.held > KNOWN_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
-        return got
+        return every, start, n
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -236,14 +335,17 @@ def encode_block(ids: np.ndarray, table: Table) -> dict:
     state = np.full(lanes, LOW, np.uint64)
     words: list[np.ndarray] = []
     marks, count = {}, 0
-    shift, limit = np.uint64(SCALE), np.uint64((LOW >> SCALE) << 32)
+    freq, start = table.freq[sym], table.start[sym]
+    limit, rest = freq * np.uint64((LOW >> SCALE) << 32), np.uint64(1 << SCALE) - freq
     for step in range(steps - 1, -1, -1):
-        s = sym[step * lanes:(step + 1) * lanes]
-        x, f = state[:len(s)], table.freq[s]
-        full = x >= limit * f
-        out = (x[full] & np.uint64(0xFFFFFFFF)).astype("<u4")
-        x = np.where(full, x >> np.uint64(32), x)
-        state[:len(s)] = ((x // f) << shift) + x % f + table.start[s]
+        a, b = step * lanes, min(n, (step + 1) * lanes)
+        x = state[:b - a]
+        full = np.flatnonzero(x >= limit[a:b])
+        y = x[full]
+        out = y.astype("<u4")  # the lower half
+        x[full] = y >> np.uint64(32)
+        # (x // f << SCALE) + x % f + start
+        x += (x // freq[a:b]) * rest[a:b] + start[a:b]
         words.append(out)
         count += len(out)
         if step % SEGMENT_STEPS == 0:
@@ -265,7 +367,8 @@ def decode_segment(block: dict, table: Table, segment: int) -> np.ndarray:
     mark = block["checkpoints"][segment * width:(segment + 1) * width]
     at = struct.unpack_from("<I", mark)[0]
     state = np.frombuffer(mark, "<u8", offset=4).astype(np.uint64)
-    words = np.frombuffer(block["payload"], "<u4")
+    words = np.frombuffer(block["payload"], "<u4")[at:].astype(np.uint64)
+    at = 0
     begin = segment * SEGMENT_STEPS * lanes
     end = min(n, begin + SEGMENT_STEPS * lanes)
     out = np.empty(end - begin, np.int32)
@@ -274,15 +377,14 @@ def decode_segment(block: dict, table: Table, segment: int) -> np.ndarray:
         k = min(lanes, end - i)
         x = state[:k]
         low = x & mask
-        s = table.slot[low.astype(np.int64)]
+        s = table.slot[low.view(np.int64)]
         out[i - begin:i - begin + k] = s
-        x = table.freq[s] * (x >> shift) + low - table.start[s]
-        need = x < np.uint64(LOW)
-        m = int(need.sum())
-        if m:
-            x[need] = (x[need] << np.uint64(32)) | words[at:at + m].astype(np.uint64)
-            at += m
-        state[:k] = x
+        x >>= shift
+        x *= table.freq[s]
+        x += low - table.start[s]
+        need = np.flatnonzero(x < np.uint64(LOW))
+        x[need] = (x[need] << np.uint64(32)) | words[at:at + len(need)]
+        at += len(need)
     ids = table.ids[out]
     if zlib.crc32(ids.astype("<u4").tobytes()) != block["checksums"][segment]:
         raise ValueError(f"segment {segment} doesn't match its checksum")
@@ -301,26 +403,27 @@ def tokenize(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     zstd over little-endian uint16 or uint32 (first byte: the width).  Every so many rows
     ``counts`` holds how often each id came since the last (ids, then counts, uint64)."""
     def run(batches):
-        t = tokenizer(vocabulary)
+        t, press = tokenizer(vocabulary), zstandard.ZstdCompressor(level=1)
         for b in gathered(batches, GATHER_ROWS):
             raw = t.encode([x or "" for x in b["text"]])
             ids = [np.append(np.frombuffer(r, "<u4"), np.uint32(END_ID)) for r in raw]
             total = np.bincount(np.concatenate(ids))
             seen = np.flatnonzero(total)
-            counts = [None] * (len(ids) - 1) + [zstandard.compress(np.stack([seen, total[seen]]).astype("<u8").tobytes(), 1)]
-            yield {"doc_id": b["doc_id"], "n": [len(x) for x in ids], "ids": [_pack(x) for x in ids], "counts": counts}
+            counts = [None] * (len(ids) - 1) + [press.compress(np.stack([seen, total[seen]]).astype("<u8").tobytes())]
+            yield {"doc_id": b["doc_id"], "n": [len(x) for x in ids],
+                   "ids": [_pack(x, press) for x in ids], "counts": counts}
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                          F.col(f"`{text_col}`").alias("text"))
     return map_rows(narrow, run, "doc_id long, n long, ids binary, counts binary")
 
 
-def _pack(ids: np.ndarray) -> bytes:
+def _pack(ids: np.ndarray, press: zstandard.ZstdCompressor) -> bytes:
     width = 2 if not len(ids) or int(ids.max()) < 1 << 16 else 4
-    return bytes([width]) + zstandard.compress(ids.astype(f"<u{width}").tobytes(), 1)
+    return bytes([width]) + press.compress(ids.astype(f"<u{width}").tobytes())
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data[1:]), f"<u{data[0]}").astype(np.uint32)
+def _unpack(data: bytes, opener: zstandard.ZstdDecompressor) -> np.ndarray:
+    return np.frombuffer(opener.decompress(data[1:]), f"<u{data[0]}").astype(np.uint32)
 
 
 def frequencies(tokens: DataFrame) -> DataFrame:
@@ -371,11 +474,11 @@ def write(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[dict]):
         number, first, held, size = 0, 0, [], 0
-        shard, table = None, Table(*arrays.value)
+        shard, table, opener = None, Table(*arrays.value), zstandard.ZstdDecompressor()
         for b in batches:
             shard = b["shard"][0]
             for doc, data in zip(b["doc_id"], b["ids"]):
-                ids = _unpack(data)
+                ids = _unpack(data, opener)
                 held.append((doc, ids))
                 size += len(ids)
                 if size >= BLOCK_IDS:
