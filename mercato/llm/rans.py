@@ -35,7 +35,7 @@ BLOCK_IDS = 1 << 18  # a block closes once it holds so many ids
 LANES = 1024
 SEGMENT_STEPS = 128  # steps (of one id per lane) between checkpoints
 END_ID = 0
-CHUNK_BYTES = 8 << 20  # text cut into pieces at once; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # text cut into pieces at once; a longer text is a chunk of its own
 KNOWN_BYTES = 80 << 20  # ids of pieces remembered: in the table and, twice, in dictionaries of longer ones
 ENTRY = 200  # what a dictionary takes for each
 KEY = 15  # bytes of the longest piece that the table holds: with its length they fill two words
@@ -85,6 +85,13 @@ class PieceTable:
         where = self.where[at]
         return known, where >> 4, where & 15
 
+    def followed_by(self, ids: np.ndarray) -> np.ndarray:
+        """The ids held and, from ``used`` on, other ones; until the next call."""
+        if self.used + len(ids) > len(self.ids):
+            return np.concatenate([self.ids[:self.used], ids])
+        self.ids[self.used:self.used + len(ids)] = ids
+        return self.ids
+
     def add(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
         """Remember distinct pieces that aren't known, as many as there is room for."""
         if self.count + len(n) > self.most or self.used + len(ids) > len(self.ids):
@@ -193,10 +200,10 @@ class PieceTokenizer:
         pieces = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(cuts), [None, pa.py_buffer(np.append(cuts, len(whole))), pa.py_buffer(joined)]
         ).take(pa.array(new)).dictionary_encode()
-        fresh, begin, size = self._ids_of(pieces.dictionary.to_pylist())
+        fresh, begin, size = self._ids_of(pieces.dictionary)
         which = pieces.indices.to_numpy()
         start[new], n[new] = self.table.used + begin[which], size[which]
-        every = _laid(np.concatenate([self.table.ids[:self.table.used], fresh]), start, n)
+        every = _laid(self.table.followed_by(fresh), start, n)
         after = np.cumsum(n)
         one = np.zeros(len(size), np.int64)
         one[which] = new  # a place of each new piece
@@ -208,48 +215,61 @@ class PieceTokenizer:
         for i, a, b in zip(places, [0, *at[:-1].tolist()], at.tolist()):
             out[i] = every[a:b].tobytes()
 
-    def _ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _ids_of(self, pieces: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct pieces that the table doesn't hold, and the start and number of each one's."""
         start, n = np.zeros((2, len(pieces)), np.int64)
-        laid: list[np.ndarray] = []
+        laid: list[np.ndarray] = [np.zeros(0, np.uint32)]
         used = 0
 
-        def lay(part: list[int], ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        def lay(part: np.ndarray, ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
             nonlocal used
             start[part], n[part] = used + begin, end - begin
             laid.append(ids)
             used += len(ids)
 
-        got = {i: ids for i, p in enumerate(pieces) if len(p) > KEY and (ids := self.young.get(p) or self.old.get(p))}
-        new = [i for i in range(len(pieces)) if i not in got]
-        spaced = [i for i in new if len(pieces[i]) > 1 and pieces[i][0] == 32 and b" " not in pieces[i][1:]]
-        lettered = [i for i in new if pieces[i].isalpha()]  # of bytes: ASCII letters
-        alone = set(new).difference(spaced, lettered)
-        for k in range(0, len(spaced), 2000):
-            part = spaced[k:k + 2000]
-            ids = self._ids(b"".join(pieces[i] for i in part).decode())
+        data, bounds = _buffers(pieces)
+        size = np.diff(bounds)
+        new = np.ones(len(pieces), bool)
+        got: dict[int, bytes] = {}
+        long = np.flatnonzero(size > KEY)
+        texts = dict(zip(long.tolist(), pieces.take(pa.array(long)).to_pylist()))
+        for i, p in texts.items():
+            ids = self.young.get(p) or self.old.get(p)
+            if ids:
+                got[i], new[i] = ids, False
+        spaced = new & (size > 1) & (data[bounds[:-1]] == 32) & (_count(data == 32, bounds) == 1)
+        lettered = new & (_count((data | 32) - np.uint8(97) < 26, bounds) == size)  # ASCII letters
+        alone = new & ~spaced & ~lettered
+        which = np.flatnonzero(spaced)
+        data, bounds = _buffers(pieces.take(pa.array(which)))
+        for k in range(0, len(which), 2000):
+            part, end = which[k:k + 2000], min(k + 2000, len(which))
+            ids = self._ids(data[bounds[k]:bounds[end]].tobytes().decode())
             at = np.flatnonzero(self.opens[ids])
             if len(at) != len(part) or at[0]:
-                alone.update(part)
+                alone[part] = True
                 continue
             lay(part, ids, at, np.append(at[1:], len(ids)))
-        for k in range(0, len(lettered), 2000):
-            part = lettered[k:k + 2000]
-            ids = self._ids(b"\n".join(pieces[i] for i in part).decode())
+        which = np.flatnonzero(lettered)
+        for k in range(0, len(which), 2000):
+            part = which[k:k + 2000]
+            ids = self._ids(b"\n".join(pieces.take(pa.array(part)).to_pylist()).decode())
             at = np.flatnonzero(ids == self.line_break)
             if len(at) != len(part) - 1:
-                alone.update(part)
+                alone[part] = True
                 continue
             lay(part, ids, np.append(0, at + 1), np.append(at, len(ids)))
-        for i in alone:
-            got[i] = self._ids(pieces[i].decode()).tobytes()
-        size = np.fromiter(map(len, got.values()), np.int64, len(got)) // 4
-        lay(list(got), np.frombuffer(b"".join(got.values()), "<u4"), np.cumsum(size) - size, np.cumsum(size))
+        which = np.flatnonzero(alone)
+        for i, p in zip(which.tolist(), pieces.take(pa.array(which)).to_pylist()):
+            got[i] = self._ids(p.decode()).tobytes()
+        end = np.cumsum([len(ids) // 4 for ids in got.values()], dtype=np.int64)
+        lay(np.array(list(got), np.int64), np.frombuffer(b"".join(got.values()), "<u4"),
+            np.append(0, end[:-1])[:len(end)], end)
         every = np.concatenate(laid)
-        for i in new:
-            if KEY < len(pieces[i]) <= SHORT:
-                self.young[pieces[i]] = ids = every[start[i]:start[i] + n[i]].tobytes()
-                self.held += len(pieces[i]) + len(ids) + ENTRY
+        for i, p in texts.items():
+            if new[i] and len(p) <= SHORT:
+                self.young[p] = ids = every[start[i]:start[i] + n[i]].tobytes()
+                self.held += len(p) + len(ids) + ENTRY
         if self.held > KNOWN_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
         return every, start, n
@@ -258,6 +278,20 @@ class PieceTokenizer:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
 
+def _buffers(pieces: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some pieces and their bounds in them."""
+    if not len(pieces):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, bounds, data = pieces.buffers()
+    return np.frombuffer(data, np.uint8), np.frombuffer(bounds, np.int64)[pieces.offset:][:len(pieces) + 1]
+
+
+def _count(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many flags are set between each two bounds."""
+    total = np.append(0, np.cumsum(flags))
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
 # Kinds of bytes; characters beyond ASCII are told by their first byte.
 _OTHER, _SPACE, _BREAK, _LETTER, _MARK, _INK, _NEXT, _LATIN, _WIDE, _DOUBTFUL = range(10)
 
