@@ -351,13 +351,12 @@ def _stream_hours(spark, sf_dir, versions_at):
     t["orders"].withColumn("_slice", _slice_of() + late).write.partitionBy("_slice").parquet(staged)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in refresh.ORDERS_SCHEMA.fields)
     orders = spark.read.schema(fields + ", _slice int").parquet(staged)
-    router = windowed.ArrivalRouter(versions, routed, DELAY_HOURS)
+    router, closer = windowed.ArrivalRouter(versions, routed, DELAY_HOURS), windowed.HourCloser(out, DELAY_HOURS)
     heard = StreamHistory()
     spark.streams.addListener(heard)
 
     def drain():
-        lines = windowed.exact_hourly_stream(windowed.line_stream(spark, router.on_time), f"{DELAY_HOURS} hours")
-        query = (lines.writeStream.outputMode("append").format("parquet").option("path", out)
+        query = (windowed.line_stream(spark, router.on_time).writeStream.foreachBatch(closer)
                  .option("checkpointLocation", checkpoints[1]).trigger(availableNow=True).start())
         query.awaitTermination()
         if not heard.finished(query) or heard.dropped():
@@ -379,7 +378,7 @@ def _stream_hours(spark, sf_dir, versions_at):
         spark.streams.removeListener(heard)
     real = F.col("sales_hour") <= F.to_timestamp_ntz(F.lit(str(end)))
     on_time = windowed.read_lines(spark, router.on_time).where(real)
-    return windowed.repaired(spark.read.parquet(out), on_time, windowed.read_lines(spark, router.late))
+    return windowed.repaired(closer.closed_hours(spark), on_time, windowed.read_lines(spark, router.late))
 
 
 def _first_versions(products):

@@ -83,8 +83,11 @@ def hourly_of_lines(lines: DataFrame, tasks: int | None = None) -> DataFrame:
     files behind them.  The hash tables of a task grow with its lines, and a count of
     partitions that doesn't grow with the table would let them grow as well.
     """
-    tasks = tasks or input_tasks(lines)
-    timed = lines.withColumn("sales_hour", hour_floor("order_date"))
+    return hourly_of_timed(lines.withColumn("sales_hour", hour_floor("order_date")), tasks or input_tasks(lines))
+
+
+def hourly_of_timed(timed: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``hourly_of_lines`` of lines that carry their hour."""
     measures = line_measures()
     counts = distinct_counts(timed, tasks)
     # a group's lines meet in a few tasks, so that the largest group is no single task's work
@@ -98,9 +101,9 @@ def hourly_of_lines(lines: DataFrame, tasks: int | None = None) -> DataFrame:
 
 def distinct_counts(lines: DataFrame, tasks: int | None = None) -> DataFrame:
     """(group, orders_once, customers_once): exact distinct counts, from narrow rows."""
-    each = F.explode(F.array(F.struct(F.lit(True).alias("is_order"), F.col("order_id").alias("key")),
-                             F.struct(F.lit(False).alias("is_order"), F.col("customer_id").alias("key"))))
-    keys = lines.select(*GROUP, each.alias("k")).select(*GROUP, "k.*").where("key IS NOT NULL")
+    # unpivot is an Expand: no array of structs for each line
+    keys = (lines.unpivot(GROUP, ["order_id", "customer_id"], "kind", "key").where("key IS NOT NULL")
+            .select(*GROUP, (F.col("kind") == "order_id").alias("is_order"), "key"))
     if tasks:
         keys = keys.repartition(tasks, *GROUP, "is_order", "key")
     return keys.distinct().groupBy(*GROUP).agg(F.count_if("is_order").alias("orders_once"),

@@ -5,15 +5,20 @@
   in each batch, and parts the lines at the watermark: those behind it go to a side
   table, the others to the folder that the metrics stream reads.
 * ``exact_hourly_stream`` computes all 17 metrics per hour, category and subcategory.
-  Distinct counts are exact: a first stateful step keeps one row per order and one per
-  customer in an hour, until the watermark has passed the hour; a second adds them up
-  with the lines.  State covers the delay, not the feed.
+  Distinct counts are exact.  Of a stream, a first stateful step keeps one row per order and one
+  per customer in an hour, until the watermark has passed the hour; a second adds them up
+  with the lines.  Spark puts all keys of a batch into that state before it drops those
+  of closed hours, so memory grows with the batch.
+* ``HourCloser`` (foreachBatch) therefore gives it tables instead of a stream: a batch's lines of hours that are
+  closed now, with those kept from before.  Its state are the lines of the open hours, in files:
+  it covers the delay, not the batch, and the groupings spill.
 * ``repaired`` puts the side table's lines into their hours: only groups that have late
   lines are computed again, from the lines of their hours.  A Bloom filter of these groups
   keeps the lines and results of most others out of the exact joins.
 
 The router's watermark and the stream's are the newest hour of the batches before less
 the delay.  The stream may lag behind the router but never leads, so it drops nothing.
+The closer's are the newest hour that it has read, which is the router's for the next batch.
 """
 
 from __future__ import annotations
@@ -25,13 +30,14 @@ from pyspark.sql import functions as F
 
 from mercato.functions.timefn import hour_floor
 from mercato.operators.bloom import bloom_filter, might_contain, wont_contain
-from mercato.plans.sales import HOURLY_COLUMNS, hourly_metrics_of, line_measures
+from mercato.plans.sales import HOURLY_COLUMNS, hourly_metrics_of, hourly_of_timed, line_measures
 from mercato.sources import files
 
 GROUP = ["sales_hour", "category", "subcategory"]
 VERSION_COLUMNS = ["product_id", "category", "subcategory", "cost_price", "valid_from", "valid_to"]
 _LINE = ("order_id long, customer_id long, quantity int, unit_price decimal(12,2), discount_pct decimal(5,2), "
          "status string, sales_hour timestamp_ntz, category string, subcategory string, cost_price decimal(12,2)")
+_FIELDS = [c.split()[0] for c in _LINE.split(", ")]
 
 
 def as_of_join(lines: DataFrame, versions: DataFrame) -> DataFrame:
@@ -46,7 +52,7 @@ def as_of_join(lines: DataFrame, versions: DataFrame) -> DataFrame:
     return (lines.join(v, "product_id")
             .where(F.when(F.col("order_date").isNull(), undated).otherwise(inside))
             .withColumn("sales_hour", hour_floor("order_date"))
-            .select(*[c.split()[0] for c in _LINE.split(", ")]))
+            .select(*_FIELDS))
 
 
 class ArrivalRouter:
@@ -100,7 +106,9 @@ def read_lines(spark: SparkSession, location: str) -> DataFrame:
 
 def exact_hourly_stream(lines: DataFrame, delay: str) -> DataFrame:
     """All 17 metrics of a stream of routed lines, emitted once their hour lies behind
-    the watermark."""
+    the watermark; of a table of routed lines, whose hours are closed, the same without state."""
+    if not lines.isStreaming:
+        return hourly_of_timed(lines).select(*HOURLY_COLUMNS)
     hour = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', sales_hour)"))
     timed = lines.withColumn("event_hour", hour).withWatermark("event_hour", delay)
     group = ["event_hour", "category", "subcategory"]
@@ -124,6 +132,46 @@ def exact_hourly_stream(lines: DataFrame, delay: str) -> DataFrame:
     return out.withColumn("sales_hour", ntz).select(*HOURLY_COLUMNS)
 
 
+class HourCloser:
+    """foreachBatch handler of the routed lines; see the module.  A batch is complete once its
+    mark is written; until then a replay writes its folders again."""
+
+    def __init__(self, location: str, delay_hours: int):
+        self.location, self.delay = location, _dt.timedelta(hours=delay_hours)
+        self.hours, self.open, self.marks = (f"{location}/{x}" for x in ("hours", "open", "marks"))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        name = f"batch={batch_id:012d}"
+        done = files.names(spark, self.marks)
+        if name in done:
+            return
+        before = [n for n in done if n < name][-1:]
+        text = files.read(spark, f"{self.marks}/{before[0]}") if before else ""
+        newest = _dt.datetime.fromisoformat(text) if text else None
+        behind = F.col("sales_hour").isNull()
+        if newest is not None:
+            behind = behind | (F.col("sales_hour") <= F.lit(newest - self.delay).cast("timestamp_ntz"))
+        came, dropped = batch.agg(F.max("sales_hour"), F.count_if(behind)).first()
+        if dropped:  # their hours are closed, or never will be
+            raise RuntimeError(f"{dropped} routed lines lie behind the watermark or have no hour")
+        newest = max((x for x in (came, newest) if x is not None), default=None)
+        lines = batch.select(*_FIELDS)
+        if before:
+            lines = lines.unionByName(read_lines(spark, f"{self.open}/{before[0]}"))
+        closed = F.lit(False) if newest is None else F.col("sales_hour") <= F.lit(newest - self.delay).cast("timestamp_ntz")
+        lines.where(~closed).write.mode("overwrite").parquet(f"{self.open}/{name}")
+        (exact_hourly_stream(lines.where(closed), f"{self.delay.total_seconds()} seconds")
+         .write.mode("overwrite").parquet(f"{self.hours}/{name}"))
+        files.write_once(spark, f"{self.marks}/{name}", newest.isoformat() if newest else "")
+        for old in before:  # a replay of this batch does nothing any more
+            files.delete(spark, f"{self.open}/{old}")
+
+    def closed_hours(self, spark: SparkSession) -> DataFrame:
+        """The metrics of all hours that are closed, from complete batches."""
+        return spark.read.parquet(*[f"{self.hours}/{n}" for n in files.names(spark, self.marks)]).select(*HOURLY_COLUMNS)
+
+
 def repaired(hourly: DataFrame, on_time: DataFrame, late: DataFrame) -> DataFrame:
     """``hourly`` (from the stream) with the groups of the ``late`` lines computed again
     from all their lines."""
@@ -143,7 +191,6 @@ def repaired(hourly: DataFrame, on_time: DataFrame, late: DataFrame) -> DataFram
 def close_hours(spark: SparkSession, on_time: str, after: _dt.datetime, n: int = 2) -> None:
     """End a finite feed: rows dated ``after`` move the stream's watermark on.  They are dated
     behind every real hour and never close themselves."""
-    names = [c.split()[0] for c in _LINE.split(", ")]
     for k in range(n):
-        row = tuple(after + _dt.timedelta(hours=k) if c == "sales_hour" else None for c in names)
+        row = tuple(after + _dt.timedelta(hours=k) if c == "sales_hour" else None for c in _FIELDS)
         spark.createDataFrame([row], _LINE).coalesce(1).write.parquet(f"{on_time}/batch=close-{k}")
