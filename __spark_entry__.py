@@ -26,8 +26,8 @@ from mercato.plans import customers as cust  # noqa: E402
 from mercato.plans import pipeline  # noqa: E402
 from mercato.plans import products as prod  # noqa: E402
 from mercato.plans import sales  # noqa: E402
-from mercato.session import scratch_path  # noqa: E402
-from mercato.sources import catalog, sinks  # noqa: E402
+from mercato.session import fewer_sorts, scratch_path  # noqa: E402
+from mercato.sources import catalog, files, sinks  # noqa: E402
 from mercato.sources.bindings import (  # noqa: E402
     RUN_STEPS_AS_OF, TEST_AS_OF, load_base_tables, orders_from, read_raw, run_steps_from,
 )
@@ -342,15 +342,19 @@ def q_hourly_refresh_when_due(spark, sf_dir):
 def _stream_hours(spark, sf_dir, versions_at):
     """Run the routed feed through the windowed stream; ``versions_at(k)`` gives the product
     versions known when slice k arrives (None: as before)."""
+    with fewer_sorts(spark):
+        return _run_stream_hours(spark, sf_dir, versions_at)
+
+
+def _run_stream_hours(spark, sf_dir, versions_at):
     t = _tables(spark, sf_dir)
     staged, landing, routed, out, versions = (scratch_path(spark, x) for x in (
         "orders_staged", "orders_landing", "orders_routed", "hourly_windowed", "product_versions"))
     checkpoints = [scratch_path(spark, "stream_checkpoint") for _ in range(2)]
     late = F.coalesce((F.col("order_id") % LATE_EVERY == 0).cast("int"), F.lit(0))
-    # joined once; a slice reads its own folder
+    # joined and written once; a slice arrives when its folder moves into the landing zone
     t["orders"].withColumn("_slice", _slice_of() + late).write.partitionBy("_slice").parquet(staged)
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in refresh.ORDERS_SCHEMA.fields)
-    orders = spark.read.schema(fields + ", _slice int").parquet(staged)
+    files.make_folder(spark, landing)
     router, closer = windowed.ArrivalRouter(versions, routed, DELAY_HOURS), windowed.HourCloser(out, DELAY_HOURS)
     heard = StreamHistory()
     spark.streams.addListener(heard)
@@ -367,11 +371,14 @@ def _stream_hours(spark, sf_dir, versions_at):
             known = versions_at(k, t["products"])
             if known is not None:
                 known.write.mode("overwrite").parquet(versions)
-            _arrive(orders.where(F.col("_slice") == k).drop("_slice"), landing)
-            (refresh.order_stream(spark, landing, FILES_PER_TRIGGER).writeStream.foreachBatch(router)
+            if files.exists(spark, f"{staged}/_slice={k}"):
+                files.move(spark, f"{staged}/_slice={k}", f"{landing}/slice-{k}")
+            else:  # a slice may have no line
+                files.make_folder(spark, f"{landing}/slice-{k}")
+            (refresh.order_stream(spark, f"{landing}/*", FILES_PER_TRIGGER).writeStream.foreachBatch(router)
              .option("checkpointLocation", checkpoints[0]).trigger(availableNow=True).start().awaitTermination())
             drain()
-        end = spark.read.schema(refresh.ORDERS_SCHEMA).parquet(staged).agg(F.max("order_date")).first()[0]
+        end = spark.read.schema(refresh.ORDERS_SCHEMA).parquet(f"{landing}/*").agg(F.max("order_date")).first()[0]
         windowed.close_hours(spark, router.on_time, end + datetime.timedelta(hours=DELAY_HOURS + 2))
         drain()
     finally:

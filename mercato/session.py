@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -90,3 +92,23 @@ def task_slots(spark: SparkSession) -> int:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# A join whose build side has at most so many bytes of shuffle in every task needs no sorts (AQE sees
+# the sizes; where its advisory size is larger it sorts); partitioned writes of few folders neither.
+_FEWER_SORTS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16m",
+                "spark.sql.maxConcurrentOutputFileWriters": "8"}
+
+
+@contextmanager
+def fewer_sorts(spark: SparkSession) -> Iterator[None]:
+    """What runs inside joins and writes without sorts where that is safe; a session's own settings stay."""
+    ours = {k: v for k, v in _FEWER_SORTS.items() if spark.conf.get(k) in ("0", "0b")}
+    before = {k: spark.conf.get(k) for k in ours}
+    for k, v in ours.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

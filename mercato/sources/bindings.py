@@ -74,7 +74,7 @@ def products_from(part: DataFrame) -> DataFrame:
     return part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
-        *_product_columns(),
+        *_product_columns(_cost_price()),
         F.col("p_retailprice").cast(MONEY).alias("list_price"),
     )
 
@@ -93,7 +93,9 @@ def _order_lines(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Dat
         lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_linestatus")
         .join(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"),
               F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part.select("p_partkey", "p_retailprice", "p_type", "p_brand"),
+        # decimals are made once per product, not per line
+        .join(part.select("p_partkey", "p_type", "p_brand", F.col("p_retailprice").cast(MONEY).alias("p_price"),
+                          _cost_price().alias("p_cost")),
               F.col("l_partkey") == F.col("p_partkey"))
     )
 
@@ -104,19 +106,19 @@ def _order_columns(order_date):
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").cast(MONEY).alias("unit_price"),
+        F.col("p_price").alias("unit_price"),
         (F.col("l_discount") * F.lit(100)).cast(PCT).alias("discount_pct"),
         order_date.alias("order_date"),
         _status().alias("status"),
     ]
 
 
-def _product_columns():
-    return [
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("subcategory"),
-        (F.col("p_retailprice") * F.lit(COST_RATIO)).cast(MONEY).alias("cost_price"),
-    ]
+def _cost_price():
+    return (F.col("p_retailprice") * F.lit(COST_RATIO)).cast(MONEY)
+
+
+def _product_columns(cost):
+    return [F.col("p_type").alias("category"), F.col("p_brand").alias("subcategory"), cost.alias("cost_price")]
 
 
 def _order_date():
@@ -134,7 +136,7 @@ def orders_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Data
 def sales_lines_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Order lines with their product's category, subcategory and cost_price: ``orders``
     joined to ``products``, at the price of one join of ``part`` instead of two."""
-    return _order_lines(lineitem, orders, part).select(*_order_columns(_order_date()), *_product_columns())
+    return _order_lines(lineitem, orders, part).select(*_order_columns(_order_date()), *_product_columns(F.col("p_cost")))
 
 
 def orders_dense_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:

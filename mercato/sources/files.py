@@ -32,6 +32,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    fs, target = _at(spark, path)
+    if not fs.rename(target, _at(spark, to)[1]):
+        raise OSError(f"{path} was not moved to {to}")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _at(spark, path)
     fs.mkdirs(target)
