@@ -51,6 +51,11 @@ def exact_sum(units: Column, scale: int) -> Column:
     """Aggregate: exact SUM of LONG minor units, as DECIMAL(38, scale)."""
     hi = F.sum(F.shiftright(units, _LOW_BITS))
     lo = F.sum(units.bitwiseAND(F.lit(_LOW_MASK)))
+    return halves(hi, lo, scale)
+
+
+def halves(hi: Column, lo: Column, scale: int) -> Column:
+    """DECIMAL(38, scale) of the sums of the high bits and of the low 20 bits of minor units."""
     whole = (hi.cast(DecimalType(38, 0)) * F.lit(1 << _LOW_BITS).cast(DecimalType(38, 0))
              + lo.cast(DecimalType(38, 0)))
     return (whole * F.lit(Decimal(1).scaleb(-scale))).cast(DecimalType(38, scale))

@@ -30,13 +30,17 @@ from pyspark.sql import functions as F
 
 from mercato.functions.timefn import hour_floor
 from mercato.operators.bloom import bloom_filter, might_contain, wont_contain
-from mercato.plans.sales import HOURLY_COLUMNS, hourly_metrics_of, hourly_of_timed, line_measures
+from mercato.plans.sales import (
+    ARROW_LINES, HOURLY_COLUMNS, hourly_by_arrow, hourly_metrics_of, hourly_of_timed, input_tasks, line_measures,
+)
+from mercato.session import task_slots
 from mercato.sources import files
 
 GROUP = ["sales_hour", "category", "subcategory"]
 VERSION_COLUMNS = ["product_id", "category", "subcategory", "cost_price", "valid_from", "valid_to"]
 _LINE = ("order_id long, customer_id long, quantity int, unit_price decimal(12,2), discount_pct decimal(5,2), "
          "status string, sales_hour timestamp_ntz, category string, subcategory string, cost_price decimal(12,2)")
+REPAIR_BYTES = 2 << 20  # of routed lines a task
 _FIELDS = [c.split()[0] for c in _LINE.split(", ")]
 
 
@@ -104,11 +108,12 @@ def read_lines(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.schema(_LINE + ", batch string").parquet(location).drop("batch")
 
 
-def exact_hourly_stream(lines: DataFrame, delay: str) -> DataFrame:
+def exact_hourly_stream(lines: DataFrame, delay: str, tasks: int | None = None) -> DataFrame:
     """All 17 metrics of a stream of routed lines, emitted once their hour lies behind
-    the watermark; of a table of routed lines, whose hours are closed, the same without state."""
+    the watermark; of a table of routed lines, whose hours are closed, the same without state
+    (``tasks``: see hourly_by_arrow)."""
     if not lines.isStreaming:
-        return hourly_of_timed(lines).select(*HOURLY_COLUMNS)
+        return (hourly_by_arrow(lines, tasks) if tasks else hourly_of_timed(lines)).select(*HOURLY_COLUMNS)
     hour = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', sales_hour)"))
     timed = lines.withColumn("event_hour", hour).withWatermark("event_hour", delay)
     group = ["event_hour", "category", "subcategory"]
@@ -152,7 +157,7 @@ class HourCloser:
         behind = F.col("sales_hour").isNull()
         if newest is not None:
             behind = behind | (F.col("sales_hour") <= F.lit(newest - self.delay).cast("timestamp_ntz"))
-        came, dropped = batch.agg(F.max("sales_hour"), F.count_if(behind)).first()
+        came, dropped, count = batch.agg(F.max("sales_hour"), F.count_if(behind), F.count(F.lit(1))).first()
         if dropped:  # their hours are closed, or never will be
             raise RuntimeError(f"{dropped} routed lines lie behind the watermark or have no hour")
         newest = max((x for x in (came, newest) if x is not None), default=None)
@@ -161,7 +166,8 @@ class HourCloser:
             lines = lines.unionByName(read_lines(spark, f"{self.open}/{before[0]}"))
         closed = F.lit(False) if newest is None else F.col("sales_hour") <= F.lit(newest - self.delay).cast("timestamp_ntz")
         lines.where(~closed).write.mode("overwrite").parquet(f"{self.open}/{name}")
-        (exact_hourly_stream(lines.where(closed), f"{self.delay.total_seconds()} seconds")
+        tasks = max(task_slots(spark), -(-count // ARROW_LINES))
+        (exact_hourly_stream(lines.where(closed), f"{self.delay.total_seconds()} seconds", tasks)
          .write.mode("overwrite").parquet(f"{self.hours}/{name}"))
         files.write_once(spark, f"{self.marks}/{name}", newest.isoformat() if newest else "")
         for old in before:  # a replay of this batch does nothing any more
@@ -180,8 +186,11 @@ def repaired(hourly: DataFrame, on_time: DataFrame, late: DataFrame) -> DataFram
     # joins that add a column, as a semi or anti join would be moved below the filter's join
     mark = concerned.select(*[F.col(c).alias(f"_{c}") for c in GROUP], F.lit(True).alias("_late")).hint("shuffle_hash")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP]
-    lines = might_contain(on_time, bloom, GROUP).join(mark, same).select(*late.columns).unionByName(late)
-    again = hourly_metrics_of(lines, GROUP, F.countDistinct("order_id"), F.countDistinct("customer_id"))
+    # groups that only the filter takes for late ones are computed too, and dropped as single rows: the lines
+    # themselves are not joined
+    lines = might_contain(on_time, bloom, GROUP).select(*late.columns).unionByName(late)
+    tasks = input_tasks(lines, REPAIR_BYTES)
+    again = (hourly_by_arrow(lines, tasks) if tasks else hourly_of_timed(lines)).join(mark, same)
     kept = (wont_contain(hourly, bloom, GROUP).select(*HOURLY_COLUMNS)
             .unionByName(might_contain(hourly, bloom, GROUP).join(mark, same, "left").where("_late IS NULL")
                          .select(*HOURLY_COLUMNS)))
