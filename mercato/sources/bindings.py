@@ -88,19 +88,19 @@ def _status(orderstatus: str = "o_orderstatus", linestatus: str = "l_linestatus"
     )
 
 
-def _order_lines(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+def _order_lines(lineitem: DataFrame, orders: DataFrame, part: DataFrame, order_date) -> DataFrame:
+    # dates are made once per order and decimals once per product, not per line
     return (
         lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_linestatus")
-        .join(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"),
+        .join(orders.select("o_orderkey", "o_custkey", order_date.alias("order_date"), "o_orderstatus"),
               F.col("l_orderkey") == F.col("o_orderkey"))
-        # decimals are made once per product, not per line
         .join(part.select("p_partkey", "p_type", "p_brand", F.col("p_retailprice").cast(MONEY).alias("p_price"),
                           _cost_price().alias("p_cost")),
               F.col("l_partkey") == F.col("p_partkey"))
     )
 
 
-def _order_columns(order_date):
+def _order_columns():
     return [
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -108,7 +108,7 @@ def _order_columns(order_date):
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("p_price").alias("unit_price"),
         (F.col("l_discount") * F.lit(100)).cast(PCT).alias("discount_pct"),
-        order_date.alias("order_date"),
+        F.col("order_date"),
         _status().alias("status"),
     ]
 
@@ -130,13 +130,13 @@ def _order_date():
 def orders_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """orders(order_id, customer_id, product_id, quantity, unit_price,
     discount_pct, order_date, status), one row per order line."""
-    return _order_lines(lineitem, orders, part).select(*_order_columns(_order_date()))
+    return _order_lines(lineitem, orders, part, _order_date()).select(*_order_columns())
 
 
 def sales_lines_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Order lines with their product's category, subcategory and cost_price: ``orders``
     joined to ``products``, at the price of one join of ``part`` instead of two."""
-    return _order_lines(lineitem, orders, part).select(*_order_columns(_order_date()), *_product_columns(F.col("p_cost")))
+    return _order_lines(lineitem, orders, part, _order_date()).select(*_order_columns(), *_product_columns(F.col("p_cost")))
 
 
 def orders_dense_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def orders_dense_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
     order_date = F.timestamp_add(
         "HOUR", ((F.col("o_orderkey") * DENSE_STRIDE) % DENSE_SPAN_HOURS).cast("int"),
         F.to_timestamp_ntz(F.lit(DENSE_ORIGIN)))
-    return _order_lines(lineitem, orders, part).select(*_order_columns(order_date))
+    return _order_lines(lineitem, orders, part, order_date).select(*_order_columns())
 
 
 def run_steps_from(events: DataFrame) -> DataFrame:
